@@ -6,11 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import lines, mixing, sharding
+from . import knn, lines, mixing, secrets, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": sharding.op1_sharding,
     "op3_mixing": mixing.op3_mixing,
     "op4_line_dedup": lines.op4_line_dedup,
+    "op9_secrets": secrets.op9_secrets,
+    "op10_top_k": knn.op10_top_k,
+}
+ORACLES: dict[str, str] = {
+    "op4_line_dedup": lines.ORACLE,
+    "op9_secrets": secrets.ORACLE,
+    "op10_top_k": knn.ORACLE,
 }
-ORACLES: dict[str, str] = {"op4_line_dedup": lines.ORACLE}
