@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import knn, lines, mixing, secrets, sharding
+from . import knn, lines, mixing, quality, secrets, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": sharding.op1_sharding,
     "op3_mixing": mixing.op3_mixing,
     "op4_line_dedup": lines.op4_line_dedup,
+    "op7_quality": quality.op7_quality,
     "op9_secrets": secrets.op9_secrets,
     "op10_top_k": knn.op10_top_k,
 }
