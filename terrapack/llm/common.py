@@ -56,3 +56,25 @@ def content_id(text: Column) -> Column:
 
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
+
+
+def add_in_arrow(df: DataFrame, read: list[str], made: dict[str, str], work) -> DataFrame:
+    """`df` with the columns `made` (name: DDL type), which replace columns of those names.
+
+    `work()` is called once in each task and gives a function from lists of the `read` columns to lists of the made
+    ones, batch by batch. All other columns pass by as Arrow arrays, whatever their types.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    out = StructType.fromDDL(", ".join(f"__tp_made{k} {kind}" for k, kind in enumerate(made.values())))
+    types = [f.type for f in to_arrow_schema(out)]
+
+    def run(batches):
+        of = work()
+        for b in batches:
+            new = of(*(b.column(c).to_pylist() for c in read))
+            yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(v, type=t) for v, t in zip(new, types, strict=True))], names=[*b.schema.names, *out.names])
+
+    rows = df.mapInArrow(run, StructType([*df.schema.fields, *out.fields]))
+    return rows.withColumns({c: F.col(f"__tp_made{k}") for k, c in enumerate(made)}).drop(*out.names)

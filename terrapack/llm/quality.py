@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import add_in_arrow, table
 from .words import MIX, REMEMBERED, shape
 
 #: Labelled rows that the model is fitted on: those of smallest hash, so many at most.
@@ -141,17 +141,17 @@ def classify(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -
     weights, bias, ratios = (w[:-1] * ratios).astype(np.float64), float(w[-1]), ratios.astype(np.float32)
     shared = docs.sparkSession.sparkContext.broadcast((weights, (ratios.astype(np.float64)) ** 2))
 
-    def scores(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scores():
         of, (toward, square) = Indicators(), shared.value
-        for b in batches:
-            out = np.empty(len(b))
-            for k, t in enumerate(b["text"]):
-                x = of(t)
-                out[k] = toward[x].sum() / max(float(np.sqrt(square[x].sum())), 1e-9) + bias
-            yield b.assign(score=1 / (1 + np.exp(-np.clip(factor * out, -50, 50))))
-
-    schema = docs.select("*", F.lit(0.0).alias("score")).schema
-    out = docs.mapInPandas(scores, schema)
+
+        def score(texts: list) -> list:
+            found = map(of, texts)
+            margins = np.array([toward[x].sum() / max(float(np.sqrt(square[x].sum())), 1e-9) + bias for x in found])
+            return [1 / (1 + np.exp(-np.clip(factor * margins, -50, 50)))]
+
+        return score
+
+    out = add_in_arrow(docs, ["text"], {"score": "double"}, scores)
     return out.withColumns({"held_out": held_out(F.col("doc_id")), "predicted": (F.col("score") >= 0.5).cast("int")})
 
 
