@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, knn, lines, mixing, quality, secrets, sharding
+from . import decontamination, jaccard, knn, lines, mixing, quality, secrets, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": sharding.op1_sharding,
     "op3_mixing": mixing.op3_mixing,
     "op4_line_dedup": lines.op4_line_dedup,
+    "op5_jaccard_join": jaccard.op5_jaccard_join,
     "op6_decontamination": decontamination.op6_decontamination,
     "op7_quality": quality.op7_quality,
     "op9_secrets": secrets.op9_secrets,
