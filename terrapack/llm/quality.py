@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import add_in_arrow, table
+from .common import add_in_arrow, stored, table
 from .words import MIX, REMEMBERED, shape
 
 #: Labelled rows that the model is fitted on: those of smallest hash, so many at most.
@@ -131,12 +131,15 @@ def held_out(doc_id: Column) -> Column:
 def classify(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """All columns of `docs` with held_out, score (0 to 1, higher: good likelier) and predicted (score >= 0.5).
 
-    It learns from labelled rows that are not held out, at most `train_rows` of them by a hash of the id; nothing but
-    the text enters a score. Null labels and null ids teach nothing; repeated rows count each. Null and empty texts
+    It learns from labelled rows that are not held out, at most `train_rows` of them by a hash of the id, chosen by
+    their ids before a text is read; nothing but the text enters a score. Null labels and null ids teach nothing, and
+    of rows that share an id and a label one does. Null and empty texts
     have the score of a text without indicators. Without labels of both kinds the score is the same for all texts.
     """
     marked = labels.filter(F.col("quality").isNotNull()).select(F.col("doc_id").alias("__tp_doc"), (F.col("quality") == 1).alias("good"))
-    train = docs.filter(~held_out(F.col("doc_id"))).select("doc_id", "text").join(marked, F.col("doc_id") == F.col("__tp_doc"))
+    ids = docs.select("doc_id").filter(~held_out(F.col("doc_id"))).join(marked, F.col("doc_id") == F.col("__tp_doc")).select("doc_id", "good").distinct()
+    chosen = stored(ids.orderBy(F.xxhash64("doc_id"), "doc_id", "good").limit(train_rows), "quality-sample")
+    train = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "good").agg(F.min("text").alias("text"))
     ratios, w, factor = fit(train.select("text", "good", F.xxhash64("doc_id").alias("order")), train_rows)
     weights, bias, ratios = (w[:-1] * ratios).astype(np.float64), float(w[-1]), ratios.astype(np.float32)
     shared = docs.sparkSession.sparkContext.broadcast((weights, (ratios.astype(np.float64)) ** 2))
