@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, jaccard, knn, lines, mixing, quality, secrets, sharding
+from . import decontamination, extraction, jaccard, knn, lines, mixing, quality, secrets, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": sharding.op1_sharding,
@@ -15,11 +15,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_jaccard_join": jaccard.op5_jaccard_join,
     "op6_decontamination": decontamination.op6_decontamination,
     "op7_quality": quality.op7_quality,
+    "op8_extraction": extraction.op8_extraction,
     "op9_secrets": secrets.op9_secrets,
     "op10_top_k": knn.op10_top_k,
 }
 ORACLES: dict[str, str] = {
     "op4_line_dedup": lines.ORACLE,
+    "op8_extraction": extraction.op8_extraction,
     "op9_secrets": secrets.ORACLE,
     "op10_top_k": knn.ORACLE,
 }
