@@ -128,6 +128,12 @@ def mix(docs: DataFrame, words: Column | None = None, weights: tuple[int, ...] =
     return rows.drop("__tp_size", "__tp_key", "__tp_part", "__tp_at", "__tp_s", "__tp_z", "__tp_p", "__tp_n", "__tp_k")
 
 
+def mixed(docs: DataFrame) -> DataFrame:
+    """The mix itself: the columns of `docs`, each row as often as it is taken."""
+    out = mix(docs)
+    return out.filter(F.col("copies") > 0).withColumn("__tp_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*docs.columns)
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     narrow = stored(docs.select("doc_id", "source", content_id(text_or_empty()).alias("text"), word_count(F.col("text")).alias("words")), "mix-documents")
