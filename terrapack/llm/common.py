@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 SPACE = " \t\n\x0b\f\r"
 #: One word, as a regular expression that Java and RE2 read alike.
 WORD = r"[^\x20\x09-\x0D]+"
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -34,9 +35,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes the rows as a table in the shared folder and reads it back.
 
     It cuts the lineage: a lost executor costs its running tasks only, as the table stays where all executors read it.
+    The shuffle files of the write go when it ends, since nothing reads them again.
     """
-    path = f"{shared_dir(df.sparkSession)}/terrapack/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path, conf = f"{shared_dir(df.sparkSession)}/terrapack/{name}-{uuid.uuid4().hex}", df.sparkSession.conf
+    before = conf.get(CLEAN_UP, None)
+    conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.unset(CLEAN_UP) if before is None else conf.set(CLEAN_UP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

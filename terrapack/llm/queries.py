@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, extraction, jaccard, knn, lines, mixing, quality, secrets, sharding
+from . import decontamination, extraction, jaccard, knn, lines, mixing, quality, secrets, sharding, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": sharding.op1_sharding,
+    "op2_suffix_dedup": suffixes.op2_suffix_dedup,
     "op3_mixing": mixing.op3_mixing,
     "op4_line_dedup": lines.op4_line_dedup,
     "op5_jaccard_join": jaccard.op5_jaccard_join,
