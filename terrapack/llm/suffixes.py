@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,10 @@ from .words import MIX
 LENGTH = 200
 #: Bytes of the print that stands for a string; each string's least print is the same wherever the string is.
 PRINT = 48
-#: Different pieces around one print that are sorted together; the strings of larger groups are counted by themselves.
+#: Starts, in blocks around the print, whose strings are told apart by what all of the block share; the last one is
+#: a block of single strings.
+BLOCKS = (32, 8, 1)
+#: Different pieces of one block that are sorted together; larger groups are told apart in smaller blocks.
 SORTED_PIECES = 256
 #: Positions whose prints are taken at once.
 STRETCH = 1 << 20
@@ -121,7 +125,7 @@ def repeated_starts(pieces: list[bytes], length: int = LENGTH) -> list[np.ndarra
 
 
 class Prints:
-    """The least prints of a text's strings: for each stretch of starts that share one, where it begins and the print's hash."""
+    """The least prints of a text's strings: for each stretch of starts that share one, where it begins, the print's hash and the print's place."""
 
     def __init__(self, length: int = LENGTH, size: int = PRINT):
         self.length, self.size = length, size
@@ -137,8 +141,8 @@ class Prints:
             h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
             return h ^ (h >> np.uint64(32))
 
-    def __call__(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
-        starts, keys, last = [], [], -1
+    def __call__(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        starts, keys, prints, last = [], [], [], -1
         width = self.length - self.size + 1
         for lo in range(0, max(len(text) - self.length + 1, 0), STRETCH):
             raw = np.frombuffer(text[lo : lo + STRETCH + self.length - 1], np.uint8)
@@ -154,10 +158,11 @@ class Prints:
             new = np.flatnonzero(np.concatenate([[lo + int(at[0]) != last], at[1:] != at[:-1]]))
             starts.append(lo + new)
             keys.append(h[at[new]])
+            prints.append(lo + at[new])
             last = lo + int(at[-1])
         if not starts:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        return np.concatenate(starts), np.concatenate(keys)
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.concatenate(starts), np.concatenate(keys), np.concatenate(prints)
 
 
 def _utf8(text: str | None) -> bytes:
@@ -165,75 +170,118 @@ def _utf8(text: str | None) -> bytes:
 
 
 def pieces(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(tid, key, piece, lo, hi): for each stretch of starts lo to hi that share a print, its hash and the hash of its bytes."""
+    """(tid, keys, pieces, lows, prints): for each stretch of starts that share a print, the print's hash, the hash of the
+    stretch's bytes, its first start, and how far from it the print is. `lows` ends with the number of starts."""
 
     def work():
         prints = Prints(length)
 
         def made(texts: list) -> list:
-            out = ([], [], [])
+            out = ([], [], [], [])
             for t in texts:
                 raw = _utf8(t)
-                lo, keys = prints(raw)
+                lo, keys, place = prints(raw)
                 ends = np.append(lo[1:], len(raw) - length + 1)[: len(lo)] + length - 1
                 out[0].append(keys.view(np.int64).tolist())
                 out[1].append([int.from_bytes(hashlib.blake2b(raw[a:b], digest_size=8).digest(), "little", signed=True) for a, b in zip(lo.tolist(), ends.tolist(), strict=True)])
                 out[2].append([*lo.tolist(), len(raw) - length + 1] if len(lo) else [])
+                out[3].append((place - lo).tolist())
             return list(out)
 
         return made
 
-    rows = add_in_arrow(docs.select("text"), ["text"], {"keys": "array<bigint>", "pieces": "array<bigint>", "lows": "array<bigint>"}, work)
-    return rows.select(content_id(text_or_empty()).alias("tid"), "keys", "pieces", "lows")
+    rows = add_in_arrow(docs.select("text"), ["text"], {"keys": "array<bigint>", "pieces": "array<bigint>", "lows": "array<bigint>", "prints": "array<int>"}, work)
+    return rows.select(content_id(text_or_empty()).alias("tid"), "keys", "pieces", "lows", "prints")
 
 
 def each_piece(rows: DataFrame) -> DataFrame:
-    parts = F.arrays_zip(F.col("keys").alias("key"), F.col("pieces").alias("piece"), F.slice("lows", F.lit(1), F.size("keys")).alias("lo"), F.slice("lows", F.lit(2), F.size("keys")).alias("next"))
-    return rows.filter(F.size("keys") > 0).select("tid", F.explode(parts).alias("x")).select("tid", "x.key", "x.piece", "x.lo", (F.col("x.next") - 1).alias("hi"))
+    parts = F.arrays_zip(F.col("keys").alias("key"), F.col("pieces").alias("piece"), F.slice("lows", F.lit(1), F.size("keys")).alias("lo"), F.slice("lows", F.lit(2), F.size("keys")).alias("next"), F.col("prints").alias("print"))
+    return rows.filter(F.size("keys") > 0).select("tid", F.explode(parts).alias("x")).select("tid", "x.key", "x.piece", "x.lo", (F.col("x.next") - 1).alias("hi"), "x.print")
 
 
 def sorted_repeats(found: DataFrame, length: int, spread: int) -> DataFrame:
-    """(key, piece, off): starts in pieces of strings that repeat, from suffix arrays over the pieces of each key.
+    """(key, piece, offs): starts in pieces of strings that repeat, from suffix arrays over the pieces of each key.
 
-    `found` are (key, piece, times, bytes) with few pieces for each key. Of pieces that occur once, the offsets count.
+    `found` are (key, piece, times, raw) with few pieces for each key. Of pieces that occur once, the offsets count.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
+        key, held, rows = None, [], []
 
-        def done() -> pa.RecordBatch | None:
-            if len(held) < 2:
-                return None
-            starts = repeated_starts([x[2] for x in held], length)
-            rows = [(key, piece, s.tolist()) for (piece, times, _), s in zip(held, starts, strict=True) if times == 1 and len(s)]
+        def done() -> None:
+            if len(held) > 1:
+                starts = repeated_starts([x[2] for x in held], length)
+                rows.extend((key, piece, s.tolist()) for (piece, times, _), s in zip(held, starts, strict=True) if times == 1 and len(s))
+
+        def told() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.list_(pa.int64()))], names=["key", "piece", "offs"])
 
         for b in batches:
             for k, piece, times, raw in zip(*(b.column(c).to_pylist() for c in ("key", "piece", "times", "raw")), strict=True):
                 if k != key:
-                    if (out := done()) is not None and out.num_rows:
-                        yield out
+                    done()
                     key, held = k, []
                 held.append((piece, times, raw))
-        if (out := done()) is not None and out.num_rows:
-            yield out
+            yield told()
+            rows.clear()
+        done()
+        yield told()
 
     rows = found.repartition(spread, "key").sortWithinPartitions("key", "piece").select("key", "piece", "times", "raw")
     return rows.mapInArrow(run, "key long, piece long, offs array<long>")
 
 
-def counted_repeats(found: DataFrame, length: int) -> DataFrame:
-    """The same for keys of very many pieces: each string is a row, and equal strings are counted, wherever they are."""
+def in_blocks(cuts: DataFrame, block: int, length: int) -> DataFrame:
+    """(key, piece, times, first, last, part, bytes): the starts first to last of each piece, a row for each block.
+
+    Equal strings stand alike to their print, so blocks are laid from the print on. `part` is the hash of the bytes that
+    all strings of the whole block share, with key and block; `bytes` is the hash of the row's own bytes. `cuts` are
+    (key, piece, times, print, raw, first, last).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        short = lambda raw: int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little", signed=True)
         for b in batches:
-            for k, piece, times, raw in zip(*(b.column(c).to_pylist() for c in ("key", "piece", "times", "raw")), strict=True):
-                n = len(raw) - length + 1
-                yield pa.RecordBatch.from_arrays([pa.array([k] * n, pa.int64()), pa.array([piece] * n, pa.int64()), pa.array([times] * n, pa.int64()), pa.array(range(n), pa.int64()), pa.array([hashlib.md5(raw[s : s + length]).digest() for s in range(n)], pa.binary())], names=["key", "piece", "times", "off", "string"])
+            out = ([], [], [], [], [], [], [])
+            for key, piece, times, at, raw, first, last in zip(*(b.column(c).to_pylist() for c in ("key", "piece", "times", "print", "raw", "first", "last")), strict=True):
+                for n in range((at - last) // block, (at - first) // block + 1):
+                    u, v = max(first, at - block * n - block + 1), min(last, at - block * n)
+                    core = raw[at - block * n : at - block * n - block + 1 + length]
+                    for x, y in zip(out, (key, piece, times, u, v, short(core + b"%d %d" % (key, n)), short(raw[u : v + length] + b"%d" % (at - u))), strict=True):
+                        x.append(y)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["key", "piece", "times", "first", "last", "part", "bytes"])
 
-    rows = found.select("key", "piece", "times", "raw").mapInArrow(run, "key long, piece long, times long, off long, string binary")
-    often = rows.groupBy("string").agg(F.sum("times").alias("n")).filter(F.col("n") > 1).select("string")
-    return rows.filter(F.col("times") == 1).join(often, "string", "left_semi").groupBy("key", "piece").agg(F.collect_set("off").alias("offs"))
+    return cuts.select("key", "piece", "times", "print", "raw", "first", "last").mapInArrow(run, "key long, piece long, times long, first long, last long, part long, bytes long")
+
+
+def repeated_offsets(cuts: DataFrame, length: int, most: int, spread: int) -> list[DataFrame]:
+    """Tables (key, piece, first, last): starts in pieces that occur once of strings that repeat in other pieces.
+
+    Pieces are first parted by what all strings of a block share, and those that share it are sorted by their
+    suffixes. Where more than `most` different ones do, as at the ends of a very common passage, smaller blocks part
+    them, down to single strings; a block that occurs twice is repeated as it is. No key gathers more than `most`.
+    """
+    told, todo = [], cuts.withColumns({"first": F.lit(0).cast("long"), "last": F.length("raw").cast("long") - length})
+    for block in BLOCKS:
+        rows = stored(in_blocks(todo, block, length), "blocks")
+        times = rows.groupBy("part", "bytes").agg(F.sum("times").alias("n"))
+        parts = times.groupBy("part").agg(F.sum("n").alias("all"), F.count("*").alias("kinds"), F.min("n").alias("least")).filter(F.col("all") > 1)
+        met = stored(rows.join(times.join(parts, "part"), ["part", "bytes"]), "blocks-met")
+        told.append(met.filter((F.col("n") > 1) & (F.col("times") == 1)).select("key", "piece", "first", "last"))
+        open_ = met.filter((F.col("kinds") > 1) & (F.col("least") == 1))
+        small = open_.filter(F.col("kinds") <= most)
+        one = small.groupBy("part", "bytes").agg(F.min(F.struct("key", "piece", "first", "last", "n")).alias("o"))
+        one = one.select("part", "bytes", "o.*").join(cuts.select("key", "piece", "raw"), ["key", "piece"])
+        raw = F.substring(F.col("raw"), (F.col("first") + 1).cast("int"), (F.col("last") - F.col("first") + length).cast("int"))
+        found = sorted_repeats(one.select(F.col("part").alias("key"), F.col("bytes").alias("piece"), F.col("n").alias("times"), raw.alias("raw")), length, spread)
+        found = stored(found.withColumnsRenamed({"key": "part", "piece": "bytes"}), "sorted")
+        at = F.explode("offs").alias("o")
+        told.append(small.filter(F.col("n") == 1).join(found, ["part", "bytes"]).select("key", "piece", "first", at).select("key", "piece", (F.col("first") + F.col("o")).alias("first"), (F.col("first") + F.col("o")).alias("last")))
+        large = open_.filter((F.col("kinds") > most) & (F.col("last") > F.col("first")))
+        if large.isEmpty():
+            break
+        todo = large.select("key", "piece", "first", "last").join(cuts, ["key", "piece"])
+    return told
 
 
 def dedup_spans(docs: DataFrame, length: int = LENGTH, most: int = SORTED_PIECES) -> DataFrame:
@@ -241,34 +289,35 @@ def dedup_spans(docs: DataFrame, length: int = LENGTH, most: int = SORTED_PIECES
 
     Equal strings share their least print and lie at the same place around it, so they meet in one key. Around each
     print lies a piece of text, with all strings whose least print it is. A piece that occurs twice repeats all its
-    strings; the other pieces of a key are sorted against each other and against those by their suffixes.
+    strings; the other pieces of a key are sorted against each other and against those by their suffixes (see
+    repeated_offsets).
     """
     spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = stored(pieces(docs, length), "pieces")
     each = each_piece(rows)
     times = each.groupBy("key", "piece").agg(F.count("*").alias("times"))
     keys = times.groupBy("key").agg(F.sum("times").alias("all"), F.count("*").alias("kinds"), F.min("times").alias("least")).filter(F.col("all") > 1)
-    known = stored(times.join(keys, "key").select("key", "piece", "times", "kinds", ((F.col("kinds") > 1) & (F.col("least") == 1)).alias("open")), "piece-counts")
+    known = stored(times.join(keys, "key").select("key", "piece", "times", ((F.col("kinds") > 1) & (F.col("least") == 1)).alias("open")), "piece-counts")
     met = stored(each.join(known, ["key", "piece"]), "repeated-prints")
 
-    asked = met.filter("open").groupBy("tid").agg(F.collect_set(F.struct("lo", "hi", "key", "piece", "times", "kinds")).alias("asked"))
+    asked = met.filter("open").groupBy("tid").agg(F.collect_set(F.struct("lo", "hi", "key", "piece", "times", "print")).alias("asked"))
     texts = docs.select("text", content_id(text_or_empty()).alias("tid")).join(asked, "tid").select("text", "asked")
 
     def cut():
         return lambda found, ask: [[[_utf8(t)[x["lo"] : x["hi"] + length] for x in a] for t, a in zip(found, ask, strict=True)]]
 
     cuts = add_in_arrow(texts, ["text", "asked"], {"raws": "array<binary>"}, cut).select(F.explode(F.arrays_zip("asked", "raws")).alias("x"))
-    cuts = cuts.select("x.asked.key", "x.asked.piece", "x.asked.times", "x.asked.kinds", F.col("x.raws").alias("raw"))
-    cuts = stored(cuts.groupBy("key", "piece").agg(F.first("times").alias("times"), F.first("kinds").alias("kinds"), F.first("raw").alias("raw")), "cut-pieces")
-    told = sorted_repeats(cuts.filter(F.col("kinds") <= most), length, spread).union(counted_repeats(cuts.filter(F.col("kinds") > most), length))
-    told = stored(told, "repeated-offsets")
+    cuts = cuts.select("x.asked.key", "x.asked.piece", "x.asked.times", "x.asked.print", F.col("x.raws").alias("raw"))
+    cuts = stored(cuts.groupBy("key", "piece").agg(F.first("times").alias("times"), F.first("print").alias("print"), F.first("raw").alias("raw")), "cut-pieces")
 
-    whole = met.filter(F.col("times") > 1).select("tid", F.array(F.struct(F.col("lo").alias("first"), F.col("hi").alias("last"))).alias("runs"))
-    part = met.filter((F.col("times") == 1) & F.col("open")).join(told, ["key", "piece"]).select("tid", F.transform("offs", lambda o: F.struct((F.col("lo") + o).alias("first"), (F.col("lo") + o).alias("last"))).alias("runs"))
-    return stored(whole.union(part).groupBy("tid").agg(F.flatten(F.collect_set("runs")).alias("spans")), "repeat-spans")
+    met_once = met.filter((F.col("times") == 1) & F.col("open")).select("key", "piece", "tid", "lo")
+    runs = [met.filter(F.col("times") > 1).select("tid", F.struct(F.col("lo").alias("first"), F.col("hi").alias("last")).alias("run"))]
+    for told in repeated_offsets(cuts, length, most, spread):
+        runs.append(told.join(met_once, ["key", "piece"]).select("tid", F.struct((F.col("lo") + F.col("first")).alias("first"), (F.col("lo") + F.col("last")).alias("last")).alias("run")))
+    return stored(reduce(DataFrame.union, runs).groupBy("tid").agg(F.collect_set("run").alias("spans")), "repeat-spans")
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, most: int = SORTED_PIECES) -> DataFrame:
     """All columns of `docs` with `kept` (binary: the bytes that stay), n_bytes, n_removed and n_spans.
 
     A byte goes if a string of `length` bytes that covers it also starts anywhere else, in the same text (overlaps
@@ -276,7 +325,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     than `length` stay whole. Repeated rows are texts that repeat each other. Null ids and other columns do not matter;
     names that start with __tp_ are reserved.
     """
-    spans = dedup_spans(docs, length).select(F.col("tid").alias("__tp_of"), F.col("spans").alias("__tp_spans"))
+    spans = dedup_spans(docs, length, most).select(F.col("tid").alias("__tp_of"), F.col("spans").alias("__tp_spans"))
     rows = docs.withColumn("__tp_id", content_id(text_or_empty())).join(spans, F.col("__tp_id") == F.col("__tp_of"), "left")
 
     def work():
