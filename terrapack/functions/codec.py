@@ -1,0 +1,436 @@
+"""The tile and layer-file codecs: numbers, tiles, attributes, tables, grids, whole files, and their checks."""
+
+from __future__ import annotations
+
+import struct
+import zlib
+from dataclasses import dataclass, field
+
+import numpy as np
+
+from . import constants as k
+
+
+class FormatError(ValueError):
+    """The bytes, or what is to be written, break a rule of the format."""
+
+
+def demand(ok: bool, rule: str) -> None:
+    if not ok:
+        raise FormatError(rule)
+
+
+# ---- numbers ----
+
+
+def varints(values) -> bytes:
+    """Unsigned base-128 numbers below 2**32, low groups first."""
+    v = np.asarray(list(values), object)
+    demand(all(0 <= n < 1 << 32 for n in v), "number out of range")
+    v = v.astype(np.uint64)
+    size = np.ones(len(v), np.int64)
+    for n in range(1, 5):
+        size += v >= np.uint64(1 << (7 * n))
+    out = np.zeros(int(size.sum()), np.uint8)
+    at = np.cumsum(size) - size
+    for n in range(5):
+        has = size > n
+        more = (size[has] > n + 1) * np.uint8(0x80)
+        out[at[has] + n] = ((v[has] >> np.uint64(7 * n)) & np.uint64(0x7F)).astype(np.uint8) | more.astype(np.uint8)
+    return out.tobytes()
+
+
+def fold_sign(v: int) -> int:
+    demand(-(1 << 31) <= v < 1 << 31, "difference over 32 bits")
+    return 2 * v if v >= 0 else -2 * v - 1
+
+
+def read_varints(raw: bytes) -> list[int]:
+    """All numbers of a byte string that holds nothing else."""
+    b = np.frombuffer(raw, np.uint8)
+    if not len(b):
+        return []
+    ends = np.flatnonzero(b < 0x80)
+    demand(len(ends) > 0 and ends[-1] == len(b) - 1, "number runs past the end")
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    demand(int((ends - starts).max()) < 5, "number of more than 5 bytes")
+    place = np.arange(len(b)) - np.repeat(starts, ends - starts + 1)
+    values = np.add.reduceat((b.astype(np.uint64) & np.uint64(0x7F)) << (np.uint64(7) * place.astype(np.uint64)), starts)
+    demand(int(values.max()) < 1 << 32, "number over 32 bits")
+    return values.tolist()
+
+
+class _Numbers:
+    """A cursor over the numbers of a tile; a number that is broken counts only once the cursor is there."""
+
+    def __init__(self, raw: bytes):
+        self.raw, self.at = raw, 0
+
+    def left(self) -> bool:
+        return self.at < len(self.raw)
+
+    def next(self) -> int:
+        value = 0
+        for n in range(5):
+            demand(self.at < len(self.raw), "number runs past the end")
+            byte = self.raw[self.at]
+            self.at += 1
+            value += (byte & 0x7F) << (7 * n)
+            if byte < 0x80:
+                demand(value < 1 << 32, "number over 32 bits")
+                return value
+        raise FormatError("number of more than 5 bytes")
+
+
+# ---- tiles ----
+
+
+def _check_points(points, low: int, high: int) -> None:
+    p = np.asarray(points, np.int64).reshape(-1, 2)
+    demand(not len(p) or (int(p.min()) >= low and int(p.max()) <= high), "point outside the buffered tile")
+
+
+def encode_tile(features, bits: int, buffer: int) -> bytes:
+    """Bytes of features (geometry, class, attribute or None, parts of points) in order."""
+    features = list(features)
+    demand(len(features) <= k.MOST_FEATURES, "too many features")
+    numbers, last, count = [], np.zeros((1, 2), np.int64), 0
+    for geom, cls, attr, parts in features:
+        demand(geom in (k.POLYGON, k.LINE) and 0 <= cls < 1 << 29, "geometry or class out of range")
+        demand(1 <= len(parts) <= k.MOST_PARTS, "number of parts out of range")
+        numbers.append(geom + (0 if attr is None else 4) + 8 * cls)
+        numbers += [] if attr is None else [attr]
+        numbers.append(len(parts))
+        for part in parts:
+            p = np.asarray(part, np.int64).reshape(-1, 2)
+            demand(len(p) >= (3 if geom == k.POLYGON else 2), "too few points")
+            count += len(p)
+            demand(count <= k.MOST_POINTS, "too many points")
+            _check_points(p, -buffer, (1 << bits) + buffer)
+            step = np.diff(np.concatenate([last, p]), axis=0).ravel()
+            numbers.append(len(p))
+            numbers += np.where(step >= 0, 2 * step, -2 * step - 1).tolist()
+            last = p[-1:]
+    out = varints(numbers)
+    demand(len(out) <= k.MOST_TILE, "tile too large")
+    return out
+
+
+def decode_tile(raw: bytes, bits: int, buffer: int, attrs: int) -> list[tuple]:
+    """Features of a tile's bytes; every rule is checked."""
+    low, high = -buffer, (1 << bits) + buffer
+    numbers, features, count, x, y = _Numbers(raw), [], 0, 0, 0
+    while numbers.left():
+        demand(len(features) < k.MOST_FEATURES, "too many features")
+        head = numbers.next()
+        geom, cls = head % 4, head // 8
+        demand(geom in (k.POLYGON, k.LINE), "unknown geometry")
+        attr = numbers.next() if head & 4 else None
+        demand(attr is None or attr < attrs, "attribute out of range")
+        n_parts = numbers.next()
+        demand(1 <= n_parts <= k.MOST_PARTS, "number of parts out of range")
+        parts = []
+        for _ in range(n_parts):
+            n = numbers.next()
+            demand(n >= (3 if geom == k.POLYGON else 2), "too few points")
+            count += n
+            demand(count <= k.MOST_POINTS, "too many points")
+            part = []
+            for _ in range(n):
+                u, v = numbers.next(), numbers.next()
+                x, y = x + (u // 2 if u % 2 == 0 else -(u + 1) // 2), y + (v // 2 if v % 2 == 0 else -(v + 1) // 2)
+                demand(low <= x <= high and low <= y <= high, "point outside the buffered tile")
+                part.append((x, y))
+            parts.append(part)
+        features.append((geom, cls, attr, parts))
+    return features
+
+
+# ---- attributes, tables, grids ----
+
+
+def encode_record(items: list[tuple[int, int | str | bytes]]) -> bytes:
+    """Tag, length and value of each item; whole numbers as varints, texts as UTF-8."""
+    out = b""
+    for tag, value in items:
+        body = varints([value]) if isinstance(value, int) else value.encode() if isinstance(value, str) else bytes(value)
+        out += varints([tag, len(body)]) + body
+    return out
+
+
+def decode_record(raw: bytes) -> list[tuple[int, bytes]]:
+    items, numbers = [], _Numbers(raw)
+    while numbers.left():
+        tag, size = numbers.next(), numbers.next()
+        demand(size <= len(raw) - numbers.at, "item runs past the record")
+        items.append((tag, raw[numbers.at : numbers.at + size]))
+        numbers.at += size
+    return items
+
+
+def pack_table(records: list[bytes]) -> bytes:
+    ends = np.cumsum([4 * (len(records) + 1), *map(len, records)])
+    return ends.astype("<u4").tobytes() + b"".join(records)
+
+
+def unpack_table(raw: bytes, at: int, n: int, low: int, high: int, what: str) -> list[bytes]:
+    demand(low <= at and at + 4 * (n + 1) <= high, f"{what} table outside the header")
+    ends = np.frombuffer(raw, "<u4", n + 1, at).astype(np.int64)
+    demand(ends[0] >= 4 * (n + 1) and (np.diff(ends) >= 0).all() and at + ends[-1] <= high, f"bad {what} table")
+    return [raw[at + a : at + b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+
+
+def pack_grid(cells: dict[tuple[int, int], int]) -> bytes:
+    """Two bits for each of 256 x 256 cells, rows first."""
+    values = np.zeros(k.GRID_SIDE**2, np.uint8)
+    for (x, y), v in cells.items():
+        demand(0 <= x < k.GRID_SIDE and 0 <= y < k.GRID_SIDE and 0 <= v <= 3, "cell out of range")
+        values[y * k.GRID_SIDE + x] = v
+    return (values.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1).astype(np.uint8).tobytes()
+
+
+def unpack_grid(raw: bytes) -> np.ndarray:
+    return ((np.frombuffer(raw, np.uint8)[:, None] >> np.array([0, 2, 4, 6], np.uint8)) & 3).reshape(k.GRID_SIDE, k.GRID_SIDE)
+
+
+def tile_key(x: int, y: int) -> int:
+    spread = lambda v: int("".join("0" + c for c in f"{v:b}"), 2)
+    return spread(x) + 2 * spread(y)
+
+
+def tile_place(key: int) -> tuple[int, int]:
+    bits = f"{key:032b}"
+    return int(bits[1::2], 2), int(bits[::2], 2)
+
+
+# ---- layer files ----
+
+_HEADER = struct.Struct("<4s2H3I2BH2I8H4I")
+_LEVEL = struct.Struct("<4BH2B8I2HI")
+_CRC_AT = 12
+
+
+@dataclass
+class LevelSpec:
+    """A level to write: its parameters, and tiles as (key, bytes)."""
+
+    tile_zoom: int
+    zoom_min: int
+    zoom_max: int
+    bits: int
+    buffer: int
+    tolerance_dm: int
+    tiles: list[tuple[int, bytes]] = field(default_factory=list)
+    full_class: int = 0
+    grid: dict[tuple[int, int], int] | None = None
+
+
+@dataclass
+class Layer:
+    kind: int
+    levels: list[LevelSpec]
+    strings: list[str | bytes]
+    ids: dict[str, int | None]
+    records: list[bytes] = field(default_factory=list)
+    build_time: int = 0
+    data_time: int = 0
+
+
+def _aligned(n: int) -> int:
+    return -(-n // k.PAGE_BYTES) * k.PAGE_BYTES
+
+
+def write_layer(layer: Layer) -> bytes:
+    """The file's bytes. Tiles are sorted by key; equal tiles of a level are stored once."""
+    demand(1 <= len(layer.levels) <= k.MOST_LEVELS, "number of levels out of range")
+    demand(len(layer.strings) < k.NO_STRING, "too many strings")
+    for v in layer.levels:
+        demand(0 <= v.tile_zoom <= k.MOST_TILE_ZOOM and 8 <= v.bits <= 16 and 0 <= v.buffer < 1 << (v.bits - 3), "level parameters out of range")
+        demand(v.tile_zoom <= v.zoom_min <= v.zoom_max <= k.MOST_DISPLAY_ZOOM, "display zooms out of range")
+        demand(v.grid is None or v.tile_zoom >= k.GRID_ZOOM, "grid on a level above zoom 8")
+        demand(all(0 <= key < 1 << (2 * v.tile_zoom) for key, _ in v.tiles), "tile outside its zoom")
+    tiles = [sorted(v.tiles) for v in layer.levels]
+    at = k.FIXED_HEADER + k.LEVEL_RECORD * len(layer.levels)
+    body, grids, pages = b"", [], []
+    for v in layer.levels:
+        grids.append(at + len(body) if v.grid is not None else 0)
+        body += pack_grid(v.grid) if v.grid is not None else b""
+    for t in tiles:
+        pages.append(at + len(body))
+        body += np.array([key for key, _ in t[:: k.PAGE_ENTRIES]], "<u4").tobytes()
+    records_at = at + len(body) if layer.records else 0
+    body += pack_table(list(layer.records)) if layer.records else b""
+    strings_at = at + len(body)
+    body += pack_table([(s.encode() if isinstance(s, str) else s) + b"\0" for s in layer.strings])
+    header_size = _aligned(at + len(body))
+    demand(header_size <= k.MOST_HEADER, "header too large")
+    place, indexes = header_size, []
+    for t in tiles:
+        indexes.append(_aligned(place))
+        place = indexes[-1] + k.INDEX_ENTRY * len(t)
+    entries, data, starts = [], [], []
+    for t in tiles:
+        starts.append(place)
+        known: dict[bytes, int] = {}
+        rows = []
+        for key, raw in t:
+            if raw and raw not in known:
+                known[raw] = place
+                data.append(raw)
+                place += len(raw)
+            rows.append((key, known[raw], len(raw), zlib.crc32(raw)) if raw else (key, starts[-1], 0, 0))
+        entries.append(np.array(rows, "<u4").tobytes())
+    ends = [*starts[1:], place]
+    demand(place <= k.MOST_FILE, "file too large")
+    ids = [layer.ids.get(n) for n in k.ID_FIELDS]
+    demand(all(i is None or 0 <= i < len(layer.strings) for i in ids), "string id out of range")
+    head = bytearray(_HEADER.pack(k.MAGIC, *k.VERSION, header_size, 0, place, layer.kind, len(layer.levels), 0, layer.build_time, layer.data_time, len(layer.strings), *(k.NO_STRING if i is None else i for i in ids), 0, strings_at, len(layer.records), records_at, 0))
+    for n, v in enumerate(layer.levels):
+        t = tiles[n]
+        head += _LEVEL.pack(v.tile_zoom, v.zoom_min, v.zoom_max, v.bits, v.buffer, int(v.grid is not None), v.full_class, t[0][0] if t else 0, t[-1][0] if t else 0, len(t), pages[n], indexes[n], starts[n], ends[n] - starts[n], grids[n], v.tolerance_dm, 0, 0)
+    head += body
+    head += bytes(header_size - len(head))
+    struct.pack_into("<I", head, _CRC_AT, zlib.crc32(head))
+    out = [bytes(head)]
+    size = header_size
+    for at, rows in zip(indexes, entries, strict=True):
+        out += [bytes(at - size), rows]
+        size = at + len(rows)
+    return b"".join(out + data)
+
+
+@dataclass
+class ReadLevel:
+    tile_zoom: int
+    zoom_min: int
+    zoom_max: int
+    bits: int
+    buffer: int
+    flags: int
+    full_class: int
+    key_min: int
+    key_max: int
+    count: int
+    pages: np.ndarray
+    index: np.ndarray
+    data_at: int
+    data_size: int
+    grid: np.ndarray | None
+    tolerance_dm: int
+
+
+class LayerFile:
+    """A layer file that has passed every rule for opening; tiles are checked as they are read."""
+
+    def __init__(self, raw: bytes):
+        demand(len(raw) >= k.FIXED_HEADER, "shorter than its header")
+        (magic, major, minor, header_size, crc, size, self.kind, n_levels, _, self.build_time, self.data_time, n_strings, *rest) = _HEADER.unpack_from(raw)
+        ids, (_, strings_at, n_records, records_at, _) = rest[:6], rest[6:]
+        demand(magic == k.MAGIC and major == k.VERSION[0], "another kind or version of file")
+        demand(header_size % k.PAGE_BYTES == 0 and k.FIXED_HEADER <= header_size <= min(k.MOST_HEADER, len(raw)), "header size out of range")
+        demand(zlib.crc32(raw[:_CRC_AT] + bytes(4) + raw[_CRC_AT + 4 : header_size]) == crc, "header checksum differs")
+        demand(size == len(raw), "file size differs")
+        demand(1 <= n_levels <= k.MOST_LEVELS and k.FIXED_HEADER + k.LEVEL_RECORD * n_levels <= header_size, "number of levels out of range")
+        self.raw, self.major, self.minor, self.header_size = raw, major, minor, header_size
+        low = k.FIXED_HEADER + k.LEVEL_RECORD * n_levels
+        strings = unpack_table(raw, strings_at, n_strings, low, header_size, "string")
+        demand(all(s.endswith(b"\0") for s in strings), "string without its end")
+        self.strings = [s[:-1] for s in strings]
+        demand(all(i == k.NO_STRING or i < n_strings for i in ids), "string id out of range")
+        self.ids = dict(zip(k.ID_FIELDS, ids, strict=True))
+        self.records = unpack_table(raw, records_at, n_records, low, header_size, "attribute") if n_records else []
+        self.levels = [self._level(n, low) for n in range(n_levels)]
+
+    def _level(self, n: int, low: int) -> ReadLevel:
+        (tz, z0, z1, bits, buffer, flags, full, key0, key1, count, pages_at, index_at, data_at, data_size, grid_at, tolerance, _, _) = _LEVEL.unpack_from(self.raw, k.FIXED_HEADER + k.LEVEL_RECORD * n)
+        demand(tz <= k.MOST_TILE_ZOOM and 8 <= bits <= 16 and buffer < 1 << (bits - 3) and tz <= z0 <= z1 <= k.MOST_DISPLAY_ZOOM and flags < 2, f"level {n}: parameters out of range")
+        n_pages = -(-count // k.PAGE_ENTRIES)
+        demand(low <= pages_at and pages_at + 4 * n_pages <= self.header_size, f"level {n}: pages outside the header")
+        pages = np.frombuffer(self.raw, "<u4", n_pages, pages_at).astype(np.int64)
+        demand((np.diff(pages) > 0).all(), f"level {n}: pages not ascending")
+        grid = None
+        if flags & 1:
+            demand(tz >= k.GRID_ZOOM and low <= grid_at and grid_at + k.GRID_BYTES <= self.header_size, f"level {n}: bad grid")
+            grid = unpack_grid(self.raw[grid_at : grid_at + k.GRID_BYTES])
+        demand(index_at % k.PAGE_BYTES == 0 and self.header_size <= index_at and index_at + k.INDEX_ENTRY * count <= len(self.raw), f"level {n}: index outside the file")
+        demand(self.header_size <= data_at and data_at + data_size <= len(self.raw), f"level {n}: data outside the file")
+        index = np.frombuffer(self.raw, "<u4", 4 * count, index_at).reshape(-1, 4).astype(np.int64)
+        return ReadLevel(tz, z0, z1, bits, buffer, flags, full, key0, key1, count, pages, index, data_at, data_size, grid, tolerance)
+
+    def text(self, string_id: int) -> str | None:
+        return None if string_id == k.NO_STRING else self.strings[string_id].decode("utf-8", "replace")
+
+    def coverage(self, level: int, x: int, y: int) -> int:
+        """Value of the zoom-8 cell around a tile; 1 without a grid, and the reserved value counts as 0."""
+        v = self.levels[level]
+        if v.grid is None:
+            return 1
+        value = int(v.grid[y >> (v.tile_zoom - k.GRID_ZOOM), x >> (v.tile_zoom - k.GRID_ZOOM)])
+        return 0 if value == 3 else value
+
+    def find(self, level: int, x: int, y: int) -> tuple[int, int, int, int] | None:
+        """Index entry of a tile: by the page table, then within one page."""
+        v, key = self.levels[level], tile_key(x, y)
+        if not v.count or not v.key_min <= key <= v.key_max:
+            return None
+        page = max(int(np.searchsorted(v.pages, key, "right")) - 1, 0)
+        rows = v.index[page * k.PAGE_ENTRIES : (page + 1) * k.PAGE_ENTRIES]
+        at = int(np.searchsorted(rows[:, 0], key))
+        return tuple(rows[at].tolist()) if at < len(rows) and rows[at, 0] == key else None
+
+    def tile_bytes(self, level: int, entry) -> bytes:
+        v, (_, at, size, crc) = self.levels[level], map(int, entry)
+        demand(size <= k.MOST_TILE and v.data_at <= at and at + size <= v.data_at + v.data_size, "tile outside its data")
+        raw = self.raw[at : at + size]
+        demand(zlib.crc32(raw) == crc, "tile checksum differs")
+        return raw
+
+    def tile(self, level: int, entry) -> list[tuple]:
+        v = self.levels[level]
+        return decode_tile(self.tile_bytes(level, entry), v.bits, v.buffer, len(self.records))
+
+    def warnings(self) -> list[str]:
+        """What the format asks of a writer and no reader refuses."""
+        out = []
+        for n, v in enumerate(self.levels):
+            keys = v.index[:, 0]
+            checks = (
+                ((np.diff(keys) > 0).all(), "index not ascending"),
+                (np.array_equal(keys[:: k.PAGE_ENTRIES], v.pages), "pages do not match the index"),
+                (not len(keys) or (keys[0], keys[-1]) == (v.key_min, v.key_max), "least or largest key differs"),
+            )
+            out += [f"level {n}: {text}" for ok, text in checks if not ok]
+        return out + ([] if self.kind in (k.BASE, k.WATER, k.ZONES) else ["unknown kind of layer"])
+
+
+def quoted(raw: bytes) -> bytes:
+    out = raw.replace(b"\\", b"\\\\").replace(b'"', b'\\"')
+    return b'"' + b"".join(b"\\x%02X" % c if c < 32 else bytes([c]) for c in out) + b'"'
+
+
+def dump_lines(file: LayerFile):
+    """Lines of the canonical dump."""
+    f = file
+    yield f"PMTF {f.major}.{f.minor} kind={f.kind} levels={len(f.levels)} strings={len(f.strings)} attrs={len(f.records)} build_time={f.build_time} data_time={f.data_time}".encode()
+    yield ("ids " + " ".join(f"{n}={i}" for n, i in f.ids.items())).encode()
+    for n, s in enumerate(f.strings):
+        yield b"string %d " % n + quoted(s)
+    for n, a in enumerate(f.records):
+        yield f"attr {n} {a.hex()}".encode()
+    for n, v in enumerate(f.levels):
+        yield f"level {n} tz={v.tile_zoom} zoom={v.zoom_min}-{v.zoom_max} bits={v.bits} buffer={v.buffer} flags={v.flags} full_class={v.full_class} keys={v.key_min}-{v.key_max} entries={v.count} tol_dm={v.tolerance_dm}".encode()
+        if v.grid is not None:
+            counts = np.bincount(v.grid.ravel(), minlength=4)
+            yield (f"grid {n} " + " ".join(f"v{i}={c}" for i, c in enumerate(counts.tolist()))).encode()
+    for n, v in enumerate(f.levels):
+        for entry in v.index.tolist():
+            x, y = tile_place(entry[0])
+            yield f"tile {n} {x} {y} len={entry[2]} crc={entry[3]:08x}".encode()
+            for geom, cls, attr, parts in f.tile(n, entry):
+                yield f"feature {'polygon' if geom == k.POLYGON else 'line'} class={cls} attr={'-' if attr is None else attr} parts={len(parts)}".encode()
+                for part in parts:
+                    yield (f"part {len(part)} " + " ".join(f"{x},{y}" for x, y in part)).encode()
+
+
+def dump(file: LayerFile) -> bytes:
+    return b"\n".join(dump_lines(file)) + b"\n"
