@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 SPACE = " \t\n\x0b\f\r"
 #: One word, as a regular expression that Java and RE2 read alike.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Rows whose values are Python objects at one time.
+ROWS_AT_ONCE = 1000
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -79,7 +81,7 @@ def add_in_arrow(df: DataFrame, read: list[str], made: dict[str, str], work) ->
 
     def run(batches):
         of = work()
-        for b in batches:
+        for b in (whole.slice(at, ROWS_AT_ONCE) for whole in batches for at in range(0, whole.num_rows, ROWS_AT_ONCE)):
             new = of(*(b.column(c).to_pylist() for c in read))
             yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(v, type=t) for v, t in zip(new, types, strict=True))], names=[*b.schema.names, *out.names])
 
