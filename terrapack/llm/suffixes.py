@@ -103,15 +103,17 @@ def suffix_array(t: list[int]) -> list[int]:
     return out
 
 
-def repeated_starts(pieces: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
-    """For each piece the sorted starts of its strings of that length that start more than once in all pieces."""
+def repeated_starts(pieces: list[list[int]], length: int = LENGTH) -> list[np.ndarray]:
+    """For each piece the sorted starts of its strings of that length that start more than once in all pieces.
+
+    Pieces are lists of symbols from 2 on; a symbol that ends them all and one that ends the text sort before them.
+    """
     t, base = [], []
     for piece in pieces:
         base.append(len(t))
-        t += [c + 2 for c in piece]
+        t += piece
         t.append(1)
     t.append(0)
-    joined = b"\0".join(pieces)
     room = np.zeros(len(t), bool)
     for b, piece in zip(base, pieces, strict=True):
         room[b : b + max(0, len(piece) - length + 1)] = True
@@ -119,7 +121,7 @@ def repeated_starts(pieces: list[bytes], length: int = LENGTH) -> list[np.ndarra
     order = order[room[order]].tolist()
     marked = np.zeros(len(t), bool)
     for p, q in zip(order, order[1:], strict=False):
-        if joined[p : p + length] == joined[q : q + length]:
+        if t[p : p + length] == t[q : q + length]:
             marked[p] = marked[q] = True
     return [np.flatnonzero(marked[b : b + len(piece)]) for b, piece in zip(base, pieces, strict=True)]
 
@@ -199,59 +201,63 @@ def each_piece(rows: DataFrame) -> DataFrame:
     return rows.filter(F.size("keys") > 0).select("tid", F.explode(parts).alias("x")).select("tid", "x.key", "x.piece", "x.lo", (F.col("x.next") - 1).alias("hi"), "x.print")
 
 
-def sorted_repeats(found: DataFrame, length: int, spread: int) -> DataFrame:
+def sorted_repeats(found: DataFrame, block: int, spread: int) -> DataFrame:
     """(key, piece, offs): starts in pieces of strings that repeat, from suffix arrays over the pieces of each key.
 
-    `found` are (key, piece, times, raw) with few pieces for each key. Of pieces that occur once, the offsets count.
+    `found` are (key, piece, times, ahead, behind) with few pieces for each key. All strings of a key hold the bytes
+    between ahead and behind, which are the same in all its pieces: they are one symbol, and a string is then as long
+    as the block has starts. Of pieces that occur once, the offsets count.
     """
+    shared = 258  # above all bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, rows = None, [], []
 
         def done() -> None:
             if len(held) > 1:
-                starts = repeated_starts([x[2] for x in held], length)
+                starts = repeated_starts([x[2] for x in held], block)
                 rows.extend((key, piece, s.tolist()) for (piece, times, _), s in zip(held, starts, strict=True) if times == 1 and len(s))
 
         def told() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.list_(pa.int64()))], names=["key", "piece", "offs"])
 
         for b in batches:
-            for k, piece, times, raw in zip(*(b.column(c).to_pylist() for c in ("key", "piece", "times", "raw")), strict=True):
+            for k, piece, times, ahead, behind in zip(*(b.column(c).to_pylist() for c in ("key", "piece", "times", "ahead", "behind")), strict=True):
                 if k != key:
                     done()
                     key, held = k, []
-                held.append((piece, times, raw))
+                held.append((piece, times, [c + 2 for c in ahead] + [shared] + [c + 2 for c in behind]))
             yield told()
             rows.clear()
         done()
         yield told()
 
-    rows = found.repartition(spread, "key").sortWithinPartitions("key", "piece").select("key", "piece", "times", "raw")
+    rows = found.repartition(spread, "key").sortWithinPartitions("key", "piece").select("key", "piece", "times", "ahead", "behind")
     return rows.mapInArrow(run, "key long, piece long, offs array<long>")
 
 
 def in_blocks(cuts: DataFrame, block: int, length: int) -> DataFrame:
-    """(key, piece, times, first, last, part, bytes): the starts first to last of each piece, a row for each block.
+    """(key, piece, times, first, last, core, part, bytes): the starts first to last of each piece, a row for each block.
 
     Equal strings stand alike to their print, so blocks are laid from the print on. `part` is the hash of the bytes that
-    all strings of the whole block share, with key and block; `bytes` is the hash of the row's own bytes. `cuts` are
+    all strings of the whole block share, with key and block, and `core` their start; `bytes` is the hash of the row's
+    own bytes. `cuts` are
     (key, piece, times, print, raw, first, last).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         short = lambda raw: int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little", signed=True)
         for b in batches:
-            out = ([], [], [], [], [], [], [])
+            out = ([], [], [], [], [], [], [], [])
             for key, piece, times, at, raw, first, last in zip(*(b.column(c).to_pylist() for c in ("key", "piece", "times", "print", "raw", "first", "last")), strict=True):
                 for n in range((at - last) // block, (at - first) // block + 1):
                     u, v = max(first, at - block * n - block + 1), min(last, at - block * n)
                     core = raw[at - block * n : at - block * n - block + 1 + length]
-                    for x, y in zip(out, (key, piece, times, u, v, short(core + b"%d %d" % (key, n)), short(raw[u : v + length] + b"%d" % (at - u))), strict=True):
+                    for x, y in zip(out, (key, piece, times, u, v, at - block * n, short(core + b"%d %d" % (key, n)), short(raw[u : v + length] + b"%d" % (at - u))), strict=True):
                         x.append(y)
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["key", "piece", "times", "first", "last", "part", "bytes"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["key", "piece", "times", "first", "last", "core", "part", "bytes"])
 
-    return cuts.select("key", "piece", "times", "print", "raw", "first", "last").mapInArrow(run, "key long, piece long, times long, first long, last long, part long, bytes long")
+    return cuts.select("key", "piece", "times", "print", "raw", "first", "last").mapInArrow(run, "key long, piece long, times long, first long, last long, core long, part long, bytes long")
 
 
 def repeated_offsets(cuts: DataFrame, length: int, most: int, spread: int) -> list[DataFrame]:
@@ -270,14 +276,16 @@ def repeated_offsets(cuts: DataFrame, length: int, most: int, spread: int) -> li
         told.append(met.filter((F.col("n") > 1) & (F.col("times") == 1)).select("key", "piece", "first", "last"))
         open_ = met.filter((F.col("kinds") > 1) & (F.col("least") == 1))
         small = open_.filter(F.col("kinds") <= most)
-        one = small.groupBy("part", "bytes").agg(F.min(F.struct("key", "piece", "first", "last", "n")).alias("o"))
+        one = small.groupBy("part", "bytes").agg(F.min(F.struct("key", "piece", "first", "last", "core", "n")).alias("o"))
         one = one.select("part", "bytes", "o.*").join(cuts.select("key", "piece", "raw"), ["key", "piece"])
-        raw = F.substring(F.col("raw"), (F.col("first") + 1).cast("int"), (F.col("last") - F.col("first") + length).cast("int"))
-        found = sorted_repeats(one.select(F.col("part").alias("key"), F.col("bytes").alias("piece"), F.col("n").alias("times"), raw.alias("raw")), length, spread)
+        cut = lambda lo, hi: F.substring(F.col("raw"), (lo + 1).cast("int"), (hi - lo).cast("int"))
+        first, last, core = F.col("first"), F.col("last"), F.col("core")
+        one = one.select(F.col("part").alias("key"), F.col("bytes").alias("piece"), F.col("n").alias("times"), cut(first, core).alias("ahead"), cut(core + length - block + 1, last + length).alias("behind"))
+        found = sorted_repeats(one, block, spread)
         found = stored(found.withColumnsRenamed({"key": "part", "piece": "bytes"}), "sorted")
         at = F.explode("offs").alias("o")
         told.append(small.filter(F.col("n") == 1).join(found, ["part", "bytes"]).select("key", "piece", "first", at).select("key", "piece", (F.col("first") + F.col("o")).alias("first"), (F.col("first") + F.col("o")).alias("last")))
-        large = open_.filter((F.col("kinds") > most) & (F.col("last") > F.col("first")))
+        large = open_.filter(F.col("kinds") > most)
         if large.isEmpty():
             break
         todo = large.select("key", "piece", "first", "last").join(cuts, ["key", "piece"])
