@@ -205,8 +205,8 @@ def tile_place(key: int) -> tuple[int, int]:
 
 # ---- layer files ----
 
-_HEADER = struct.Struct("<4s2H3I2BH2I8H4I")
-_LEVEL = struct.Struct("<4BH2B8I2HI")
+_HEADER = "<4s2H3I2BH2I8H4I"
+_LEVEL = "<4BH2B8I2HI"
 _CRC_AT = 12
 
 
@@ -284,10 +284,10 @@ def write_layer(layer: Layer) -> bytes:
     demand(place <= k.MOST_FILE, "file too large")
     ids = [layer.ids.get(n) for n in k.ID_FIELDS]
     demand(all(i is None or 0 <= i < len(layer.strings) for i in ids), "string id out of range")
-    head = bytearray(_HEADER.pack(k.MAGIC, *k.VERSION, header_size, 0, place, layer.kind, len(layer.levels), 0, layer.build_time, layer.data_time, len(layer.strings), *(k.NO_STRING if i is None else i for i in ids), 0, strings_at, len(layer.records), records_at, 0))
+    head = bytearray(struct.pack(_HEADER, k.MAGIC, *k.VERSION, header_size, 0, place, layer.kind, len(layer.levels), 0, layer.build_time, layer.data_time, len(layer.strings), *(k.NO_STRING if i is None else i for i in ids), 0, strings_at, len(layer.records), records_at, 0))
     for n, v in enumerate(layer.levels):
         t = tiles[n]
-        head += _LEVEL.pack(v.tile_zoom, v.zoom_min, v.zoom_max, v.bits, v.buffer, int(v.grid is not None), v.full_class, t[0][0] if t else 0, t[-1][0] if t else 0, len(t), pages[n], indexes[n], starts[n], ends[n] - starts[n], grids[n], v.tolerance_dm, 0, 0)
+        head += struct.pack(_LEVEL, v.tile_zoom, v.zoom_min, v.zoom_max, v.bits, v.buffer, int(v.grid is not None), v.full_class, t[0][0] if t else 0, t[-1][0] if t else 0, len(t), pages[n], indexes[n], starts[n], ends[n] - starts[n], grids[n], v.tolerance_dm, 0, 0)
     head += body
     head += bytes(header_size - len(head))
     struct.pack_into("<I", head, _CRC_AT, zlib.crc32(head))
@@ -324,7 +324,7 @@ class LayerFile:
 
     def __init__(self, raw: bytes):
         demand(len(raw) >= k.FIXED_HEADER, "shorter than its header")
-        (magic, major, minor, header_size, crc, size, self.kind, n_levels, _, self.build_time, self.data_time, n_strings, *rest) = _HEADER.unpack_from(raw)
+        (magic, major, minor, header_size, crc, size, self.kind, n_levels, _, self.build_time, self.data_time, n_strings, *rest) = struct.unpack_from(_HEADER, raw)
         ids, (_, strings_at, n_records, records_at, _) = rest[:6], rest[6:]
         demand(magic == k.MAGIC and major == k.VERSION[0], "another kind or version of file")
         demand(header_size % k.PAGE_BYTES == 0 and k.FIXED_HEADER <= header_size <= min(k.MOST_HEADER, len(raw)), "header size out of range")
@@ -342,7 +342,7 @@ class LayerFile:
         self.levels = [self._level(n, low) for n in range(n_levels)]
 
     def _level(self, n: int, low: int) -> ReadLevel:
-        (tz, z0, z1, bits, buffer, flags, full, key0, key1, count, pages_at, index_at, data_at, data_size, grid_at, tolerance, _, _) = _LEVEL.unpack_from(self.raw, k.FIXED_HEADER + k.LEVEL_RECORD * n)
+        (tz, z0, z1, bits, buffer, flags, full, key0, key1, count, pages_at, index_at, data_at, data_size, grid_at, tolerance, _, _) = struct.unpack_from(_LEVEL, self.raw, k.FIXED_HEADER + k.LEVEL_RECORD * n)
         demand(tz <= k.MOST_TILE_ZOOM and 8 <= bits <= 16 and buffer < 1 << (bits - 3) and tz <= z0 <= z1 <= k.MOST_DISPLAY_ZOOM and flags < 2, f"level {n}: parameters out of range")
         n_pages = -(-count // k.PAGE_ENTRIES)
         demand(low <= pages_at and pages_at + 4 * n_pages <= self.header_size, f"level {n}: pages outside the header")

@@ -238,7 +238,7 @@ def boating_rule(restriction) -> Column:
 def min_zoom(attrs) -> Column:
     """Least display zoom of a shape: min_zoom in either case, else scalerank and one, else 0."""
     number = lambda n: F.try_element_at(_c(attrs), F.lit(n)).try_cast("double")
-    return F.coalesce(number("min_zoom"), number("MIN_ZOOM"), number("scalerank") + 1, F.lit(0.0))
+    return F.coalesce(number("min_zoom"), number("MIN_ZOOM"), number("scalerank") + 1, number("SCALERANK") + 1, F.lit(0.0))
 
 
 def quoted(raw) -> Column:

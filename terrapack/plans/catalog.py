@@ -275,10 +275,10 @@ def way_members(spark: SparkSession, d: str) -> DataFrame:
     """Customers as relations: their orders are the members; every third is a node."""
     o = read(spark, d, "orders")
     m = F.struct((F.when(F.col("o_orderkey") % 3 == 0, 0).otherwise(1)).alias("type"), F.col("o_orderkey").alias("ref"), F.lit("outer").alias("role"))
-    return o.filter(F.col("o_custkey") % 4 == 0).groupBy(F.col("o_custkey").alias("id")).agg(F.collect_list(m).alias("members"))
+    return o.groupBy(F.col("o_custkey").alias("id")).agg(F.collect_list(m).alias("members"))
 
 
-_MEMBER = "SELECT DISTINCT o_orderkey AS id FROM orders WHERE o_custkey % 4 = 0 AND o_orderkey % 3 <> 0"
+_MEMBER = "SELECT DISTINCT o_orderkey AS id FROM orders WHERE o_orderkey % 3 <> 0"
 
 
 @query(f"""WITH w AS (SELECT DISTINCT l_orderkey AS id FROM lineitem), m AS ({_MEMBER})
@@ -293,10 +293,10 @@ def q_needed_nodes(spark, d):
     return r.needed_nodes(ways(spark, d))
 
 
-@query(f"""WITH n AS (SELECT p_partkey AS id, p_partkey * 1000 AS lat_e7, p_partkey * 2000 AS lon_e7 FROM part WHERE p_partkey % 7 <> 0)
+@query(f"""WITH n AS (SELECT p_partkey AS id, p_partkey * 1000 AS lat_e7, p_partkey * 2000 AS lon_e7 FROM part WHERE p_size > 5)
 SELECT l_orderkey AS id, string_agg(lat_e7::VARCHAR || ' ' || lon_e7::VARCHAR, ',' ORDER BY {_LINES}) AS pts FROM lineitem JOIN n ON l_partkey = n.id GROUP BY 1""")
 def q_ref_coords(spark, d):
-    nodes = read(spark, d, "part").filter(F.col("p_partkey") % 7 != 0).select(F.col("p_partkey").alias("id"), (F.col("p_partkey") * 1000).alias("lat_e7"), (F.col("p_partkey") * 2000).alias("lon_e7"))
+    nodes = read(spark, d, "part").filter(F.col("p_size") > 5).select(F.col("p_partkey").alias("id"), (F.col("p_partkey") * 1000).alias("lat_e7"), (F.col("p_partkey") * 2000).alias("lon_e7"))
     got = r.way_points(ways(spark, d), nodes)
     return got.select("id", F.array_join(F.transform("pts", lambda p: F.concat_ws(" ", p["lat_e7"].cast("string"), p["lon_e7"].cast("string"))), ",").alias("pts"))
 
