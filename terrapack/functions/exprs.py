@@ -65,7 +65,7 @@ def e7(nanodegrees) -> Column:
 
 
 def degrees_e7(value) -> Column:
-    return F.lit(1e-9) * (_c(value) * F.lit(100))
+    return F.lit(1e-9) * (_c(value).cast("long") * F.lit(100))
 
 
 # ---- keys and integer codes ----

@@ -19,7 +19,8 @@ from ..operators import relational as r
 from ..operators import tiles as t
 from ..sources import geojson, pbf, shapefile, tilepack
 
-NO_ATTR = F.lit(None).cast("int")
+def no_attr():
+    return F.lit(None).cast("int")
 
 
 def _ord(rank, a, b):
@@ -119,7 +120,7 @@ def overview_features(spark: SparkSession, folder: str, sources=OVERVIEW_SOURCES
         meets = lambda p: (F.array_max(p["lon"]) >= west) & (F.array_min(p["lon"]) <= east) & (F.array_max(p["lat"]) >= south) & (F.array_min(p["lat"]) <= north)
         rows = rows.filter((F.size("parts") > 0) & (kinds == F.lit(closed)) & F.exists("parts", meets))
         rings = F.transform("parts", lambda p: F.struct(p["lon"].alias("lon"), p["lat"].alias("lat"), F.lit(True).alias("outer")))
-        rows = rows.select(_ord(rank, F.col("rec_ix"), F.lit(0)).alias("ord"), F.lit(k.POLYGON if closed else k.LINE).alias("geom"), F.lit(cls).alias("cls"), NO_ATTR.alias("attr"), rings.alias("rings"), x.min_zoom("attrs").alias("least_zoom"))
+        rows = rows.select(_ord(rank, F.col("rec_ix"), F.lit(0)).alias("ord"), F.lit(k.POLYGON if closed else k.LINE).alias("geom"), F.lit(cls).alias("cls"), no_attr().alias("attr"), rings.alias("rings"), x.min_zoom("attrs").alias("least_zoom"))
         out = rows if out is None else out.unionByName(rows)
     if out is None:
         raise ValueError(f"no shapefile of the overview in {folder}")
@@ -229,10 +230,10 @@ def collect_water(spark: SparkSession, extract: str, sea: str | None = None) ->
     lines = ways.filter(F.col("kind.line").isNotNull() & (F.size("pts") >= 2)).select("blob_ix", "elem_ix", F.col("kind.line").alias("cls"), line.alias("rings"))
 
     cells = r.data_cells(load("node"))
-    as_feature = lambda df, rank, geom: df.select(_ord(rank, F.col("blob_ix"), F.col("elem_ix")).alias("ord"), F.lit(geom).alias("geom"), "cls", NO_ATTR.alias("attr"), "rings")
+    as_feature = lambda df, rank, geom: df.select(_ord(rank, F.col("blob_ix"), F.col("elem_ix")).alias("ord"), F.lit(geom).alias("geom"), "cls", no_attr().alias("attr"), "rings")
     features = as_feature(areas, 1, k.POLYGON).unionByName(as_feature(made.filter(F.size("rings") > 0), 2, k.POLYGON)).unionByName(as_feature(lines, 3, k.LINE))
     if sea:
-        shore = shapefile.sea_rings(spark, sea, cells).select(_ord(0, F.col("rec_ix"), F.lit(0)).alias("ord"), F.lit(k.POLYGON).alias("geom"), F.lit(1).alias("cls"), NO_ATTR.alias("attr"), "rings")
+        shore = shapefile.sea_rings(spark, sea, cells).select(_ord(0, F.col("rec_ix"), F.lit(0)).alias("ord"), F.lit(k.POLYGON).alias("geom"), F.lit(1).alias("cls"), no_attr().alias("attr"), "rings")
         features = shore.unionByName(features)
     stats = made.agg(F.coalesce(F.sum("unclosed"), F.lit(0)).alias("unclosed"), F.coalesce(F.sum("orphans"), F.lit(0)).alias("orphan_holes"), F.count_if(F.size("rings") == 0).alias("small"))
     return {"features": with_box(features), "cells": cells, "stats": stats}
