@@ -66,15 +66,19 @@ def log_count_ratios(rows: list[np.ndarray], good: np.ndarray) -> np.ndarray:
     return np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
 
 
-def dual_coordinate_descent(rows: list[np.ndarray], values: list[np.ndarray], good: np.ndarray) -> np.ndarray:
-    """Weights, the last for a constant 1, that minimise |w|^2 / 2 + COST * sum of hinge losses, one dual at a time."""
+def dual_coordinate_descent(rows: list[np.ndarray], ratios: np.ndarray, scale: np.ndarray, good: np.ndarray) -> np.ndarray:
+    """Weights, the last for a constant 1, that minimise |w|^2 / 2 + COST * sum of hinge losses, one dual at a time.
+
+    A row's values are the ratios of its indices times its scale; they are looked up, not kept.
+    """
     w, y = np.zeros((1 << BITS) + 1), np.where(good, 1.0, -1.0)
-    dual, square = np.zeros(len(rows)), np.array([v @ v + 1 for v in values])
+    dual, square = np.zeros(len(rows)), np.array([float((ratios[x] * s) @ (ratios[x] * s)) + 1 for x, s in zip(rows, scale, strict=True)])
     random = np.random.default_rng(20)
     for _ in range(PASSES):
         moved = 0.0
         for k in random.permutation(len(rows)):
-            x, v = rows[k], values[k]
+            x = rows[k]
+            v = ratios[x] * scale[k]
             slope = y[k] * (w[x] @ v + w[-1]) - 1
             new = min(max(dual[k] - slope / square[k], 0.0), COST)
             if (step := new - dual[k]) != 0:
@@ -97,30 +101,27 @@ def calibration(margins: np.ndarray, good: np.ndarray) -> float:
     return float(a)
 
 
-def _scaled(x: np.ndarray, ratios: np.ndarray) -> np.ndarray:
-    v = ratios[x]
-    return v / max(float(np.sqrt(v @ v)), 1e-9)
-
-
-def fit(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[np.ndarray, np.ndarray, float]:
-    """Ratios, weights and calibration from rows (text, good boolean, and a long `order`; the first train_rows by it)."""
+def fit(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
+    """Ratios, weights and calibration from a bounded number of rows (text, good boolean, and a long `order`)."""
 
     def indicators(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         of = Indicators()
         for b in batches:
             yield pd.DataFrame({"good": b["good"], "order": b["order"], "x": [of(t) for t in b["text"]]})
 
-    chosen = labelled.select("text", "good", "order").orderBy("order", "text").limit(train_rows)
-    got = chosen.mapInPandas(indicators, "good boolean, order long, x array<int>").toArrow()
-    rows, good, order = [np.asarray(x, np.int32) for x in got["x"].to_numpy()], np.array(got["good"], bool), np.array(got["order"])
-    at = np.lexsort(([x.tobytes() for x in rows], order)) if len(rows) else []
-    rows, good = [rows[k] for k in at], good[at] if len(rows) else good
-    if not len(rows) or good.all() or not good.any():
+    got = labelled.select("text", "good", "order").mapInPandas(indicators, "good boolean, order long, x array<int>").toArrow().combine_chunks()
+    lists = got["x"].chunk(0) if got["x"].num_chunks else None
+    if lists is None or not len(lists):
+        return np.zeros(1 << BITS), np.append(np.zeros(1 << BITS), -1.0), 1.0
+    flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+    good, at = np.array(got["good"], bool), np.lexsort((np.array(got["good"], bool), np.array(got["order"])))
+    rows, good = [flat[ends[k] : ends[k + 1]] for k in at.tolist()], good[at]
+    if good.all() or not good.any():
         return np.zeros(1 << BITS), np.append(np.zeros(1 << BITS), 1.0 if good.all() else -1.0), 1.0
     ratios = log_count_ratios(rows, good)
-    values = [_scaled(x, ratios) for x in rows]
-    w = dual_coordinate_descent(rows, values, good)
-    return ratios, w, calibration(np.array([w[x] @ v + w[-1] for x, v in zip(rows, values, strict=True)]), good)
+    scale = np.array([1 / max(float(np.sqrt(ratios[x] @ ratios[x])), 1e-9) for x in rows])
+    w = dual_coordinate_descent(rows, ratios, scale, good)
+    return ratios, w, calibration(np.array([w[x] @ ratios[x] * s + w[-1] for x, s in zip(rows, scale, strict=True)]), good)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -140,7 +141,7 @@ def classify(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -
     ids = docs.select("doc_id").filter(~held_out(F.col("doc_id"))).join(marked, F.col("doc_id") == F.col("__tp_doc")).select("doc_id", "good").distinct()
     chosen = stored(ids.orderBy(F.xxhash64("doc_id"), "doc_id", "good").limit(train_rows), "quality-sample")
     train = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "good").agg(F.min("text").alias("text"))
-    ratios, w, factor = fit(train.select("text", "good", F.xxhash64("doc_id").alias("order")), train_rows)
+    ratios, w, factor = fit(train.select("text", "good", F.xxhash64("doc_id").alias("order")))
     weights, bias, ratios = (w[:-1] * ratios).astype(np.float64), float(w[-1]), ratios.astype(np.float32)
     shared = docs.sparkSession.sparkContext.broadcast((weights, (ratios.astype(np.float64)) ** 2))
 
