@@ -56,6 +56,9 @@ def main(argv: list[str] | None = None) -> int:
         if a.command == "water":
             files = dict(packs.build_water(spark, a.extract, a.sea, now, a.max_file_bytes, a.region_zoom, a.name))
             _write(a.out_dir, files, "water", [a.extract, *([a.sea] if a.sea else [])], now)
+            for name, text in (("LICENSE.txt", packs.LICENSE), ("ATTRIBUTION.txt", packs.ATTRIBUTION)):
+                with open(f"{a.out_dir}/{name}", "w", encoding="utf-8") as f:
+                    f.write(text)
             with open(f"{a.out_dir}/MANIFEST.sha256", "w", encoding="utf-8") as f:
                 f.write(packs.manifest(a.out_dir))
         elif a.command == "zones":

@@ -100,11 +100,11 @@ def build_zones(boating: DataFrame, manatee: DataFrame, date: str, build_time: i
 #: The shapefiles in order, the class of their shapes, and whether they are polygons.
 OVERVIEW_SOURCES = (
     ("ne_10m_land", 1, True),
+    ("ne_10m_minor_islands", 1, True),
     ("ne_10m_lakes", 2, True),
     ("ne_10m_lakes_north_america", 2, True),
     ("ne_10m_rivers_lake_centerlines", 3, False),
     ("ne_10m_rivers_north_america", 3, False),
-    ("ne_10m_minor_islands", 1, True),
 )
 
 
@@ -166,18 +166,21 @@ def _ring_rows(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) ->
 
 
 def way_areas(found: DataFrame) -> DataFrame:
-    """Closed ways (blob_ix, elem_ix, cls, refs, pts) as polygons of one ring of at least the least area."""
+    """Closed ways (blob_ix, elem_ix, cls, refs, ids, pts) as polygons of one ring; `small` ones, below the least area,
+    have no ring. `ids` and `pts` are the refs whose nodes are there."""
 
     def run(batches):
         for b in batches:
             rows = []
-            for blob, elem, cls, pts in zip(*(b.column(c).to_pylist() for c in ("blob_ix", "elem_ix", "cls", "pts")), strict=True):
-                lat, lon = (1e-9 * (np.array([p[c] for p in pts[:-1]], float) * 100) for c in ("lat_e7", "lon_e7"))
-                if len(lat) >= 3 and geometry.ground_area(lat, lon) >= k.LEAST_AREA:
-                    rows.append((blob, elem, cls, [{"lon": lon.tolist(), "lat": lat.tolist(), "outer": True}]))
-            yield _ring_rows(rows, ["blob_ix", "elem_ix", "cls", "rings"], [pa.int32(), pa.int32(), pa.int32(), shapefile.RINGS])
+            for blob, elem, cls, refs, ids, pts in zip(*(b.column(c).to_pylist() for c in ("blob_ix", "elem_ix", "cls", "refs", "ids", "pts")), strict=True):
+                open_ = pts[:-1] if ids and ids[-1] == refs[-1] else pts
+                lat, lon = (1e-9 * (np.array([p[c] for p in open_], float) * 100) for c in ("lat_e7", "lon_e7"))
+                if len(lat) >= 3:
+                    small = geometry.ground_area(lat, lon) < k.LEAST_AREA
+                    rows.append((blob, elem, cls, [] if small else [{"lon": lon.tolist(), "lat": lat.tolist(), "outer": True}], small))
+            yield _ring_rows(rows, ["blob_ix", "elem_ix", "cls", "rings", "small"], [pa.int32(), pa.int32(), pa.int32(), shapefile.RINGS, pa.bool_()])
 
-    return found.mapInArrow(run, f"blob_ix int, elem_ix int, cls int, rings {t.RINGS}")
+    return found.mapInArrow(run, f"blob_ix int, elem_ix int, cls int, rings {t.RINGS}, small boolean")
 
 
 def relation_areas(members: DataFrame) -> DataFrame:
@@ -199,10 +202,10 @@ def relation_areas(members: DataFrame) -> DataFrame:
                 kept = [h for h in rings[False] if any(geometry.holds(o, h[0]) for o in rings[True])]
                 area = sum(geometry.ground_area(p[:, 1], p[:, 0]) for p in rings[True]) - sum(geometry.ground_area(p[:, 1], p[:, 0]) for p in kept)
                 shapes = [{"lon": p[:, 0].tolist(), "lat": p[:, 1].tolist(), "outer": o} for o, some in ((True, rings[True]), (False, kept)) for p in some]
-                rows.append((blob, elem, cls, shapes if rings[True] and area >= k.LEAST_AREA else [], unclosed, len(rings[False]) - len(kept)))
-            yield _ring_rows(rows, ["blob_ix", "elem_ix", "cls", "rings", "unclosed", "orphans"], [pa.int32(), pa.int32(), pa.int32(), shapefile.RINGS, pa.int32(), pa.int32()])
+                rows.append((blob, elem, cls, shapes if rings[True] and area >= k.LEAST_AREA else [], unclosed, len(rings[False]) - len(kept) if rings[True] else 0, bool(rings[True]) and area < k.LEAST_AREA))
+            yield _ring_rows(rows, ["blob_ix", "elem_ix", "cls", "rings", "unclosed", "orphans", "small"], [pa.int32(), pa.int32(), pa.int32(), shapefile.RINGS, pa.int32(), pa.int32(), pa.bool_()])
 
-    return members.mapInArrow(run, f"blob_ix int, elem_ix int, cls int, rings {t.RINGS}, unclosed int, orphans int")
+    return members.mapInArrow(run, f"blob_ix int, elem_ix int, cls int, rings {t.RINGS}, unclosed int, orphans int, small boolean")
 
 
 def collect_water(spark: SparkSession, extract: str, sea: str | None = None) -> dict[str, DataFrame]:
@@ -221,7 +224,7 @@ def collect_water(spark: SparkSession, extract: str, sea: str | None = None) ->
     ways = ways.join(got.select("id", pts.alias("pts"), F.transform("g", lambda p: p["ref"]).alias("ids")), "id")
 
     closed = (F.size("refs") >= 4) & (F.element_at("refs", 1) == F.element_at("refs", -1))
-    areas = way_areas(ways.filter(F.col("kind.area").isNotNull() & closed).select("blob_ix", "elem_ix", F.col("kind.area").alias("cls"), "pts"))
+    areas = way_areas(ways.filter(F.col("kind.area").isNotNull() & closed).select("blob_ix", "elem_ix", F.col("kind.area").alias("cls"), "refs", "ids", "pts"))
     member = relations.select("blob_ix", "elem_ix", x.area_class("tags").alias("cls"), F.posexplode("members").alias("pos", "m")).filter(F.col("m.type") == 1)
     member = member.join(ways.select(F.col("id").alias("wid"), "refs", "pts", "ids"), F.col("m.ref") == F.col("wid"))
     member = member.groupBy("blob_ix", "elem_ix", "cls").agg(F.array_sort(F.collect_list(F.struct("pos", F.col("m.role").alias("role"), "refs", "ids", "pts"))).alias("ways"))
@@ -231,11 +234,15 @@ def collect_water(spark: SparkSession, extract: str, sea: str | None = None) ->
 
     cells = r.data_cells(load("node"))
     as_feature = lambda df, rank, geom: df.select(_ord(rank, F.col("blob_ix"), F.col("elem_ix")).alias("ord"), F.lit(geom).alias("geom"), "cls", no_attr().alias("attr"), "rings")
-    features = as_feature(areas, 1, k.POLYGON).unionByName(as_feature(made.filter(F.size("rings") > 0), 2, k.POLYGON)).unionByName(as_feature(lines, 3, k.LINE))
+    features = as_feature(areas.filter(~F.col("small")), 1, k.POLYGON).unionByName(as_feature(made.filter(F.size("rings") > 0), 2, k.POLYGON)).unionByName(as_feature(lines, 3, k.LINE))
+    n_sea = F.lit(0).cast("long")
     if sea:
-        shore = shapefile.sea_rings(spark, sea, cells).select(_ord(0, F.col("rec_ix"), F.lit(0)).alias("ord"), F.lit(k.POLYGON).alias("geom"), F.lit(1).alias("cls"), no_attr().alias("attr"), "rings")
-        features = shore.unionByName(features)
-    stats = made.agg(F.coalesce(F.sum("unclosed"), F.lit(0)).alias("unclosed"), F.coalesce(F.sum("orphans"), F.lit(0)).alias("orphan_holes"), F.count_if(F.size("rings") == 0).alias("small"))
+        grid = lambda v: F.transform(v, lambda d: x.degrees_e7(F.rint(d * 1e7)))
+        on_grid = F.transform("rings", lambda q: F.struct(grid(q["lon"]).alias("lon"), grid(q["lat"]).alias("lat"), q["outer"].alias("outer")))
+        shore = shapefile.sea_rings(spark, sea, cells).select(_ord(0, F.col("rec_ix"), F.lit(0)).alias("ord"), F.lit(k.POLYGON).alias("geom"), F.lit(1).alias("cls"), no_attr().alias("attr"), on_grid.alias("rings"))
+        features, n_sea = shore.unionByName(features), F.lit(shore.count())
+    counts = made.select("unclosed", "orphans", "small").unionByName(areas.select(F.lit(0).alias("unclosed"), F.lit(0).alias("orphans"), "small"))
+    stats = counts.agg(n_sea.alias("sea"), F.count_if("small").alias("small"), F.coalesce(F.sum("unclosed"), F.lit(0)).alias("unclosed"), F.coalesce(F.sum("orphans"), F.lit(0)).alias("orphan_holes"))
     return {"features": with_box(features), "cells": cells, "stats": stats}
 
 
@@ -311,7 +318,8 @@ def estimate_category(tags, is_member):
 
 
 def estimate(spark: SparkSession, extract: str) -> DataFrame:
-    """By category: ways, vertices, those that are missing, and for each level the vertices left and their bytes."""
+    """By category: ways, their vertices, nodes that are missing, small areas left out, and for each level the vertices
+    that simplification leaves and their bytes. Ways of fewer than two nodes count only their missing ones."""
     pbf.register(spark)
     load = lambda e: spark.read.format("osm_pbf").option("element", e).load(extract)
     area = estimate_category("tags", F.lit(False)) == "area"
@@ -319,28 +327,28 @@ def estimate(spark: SparkSession, extract: str) -> DataFrame:
     ways = load("way").filter(F.size("refs") > 0).join(members.withColumn("is_member", F.lit(True)), "id", "left")
     ways = ways.withColumn("category", estimate_category("tags", F.coalesce("is_member", F.lit(False)))).filter(F.col("category").isNotNull())
     points = r.way_points(ways, r.latest(load("node"), "id", ["blob_ix", "elem_ix"]).join(r.needed_nodes(ways), "id"))
-    rows = ways.join(points, "id", "left").select("category", F.size("refs").alias("refs"), F.coalesce("pts", F.array().cast(POINTS)).alias("pts"))
+    closed = F.element_at("refs", 1) == F.element_at("refs", -1)
+    rows = ways.join(points, "id", "left").select("category", F.size("refs").alias("refs"), closed.alias("closed"), F.coalesce("pts", F.array().cast(POINTS)).alias("pts"))
+    names = ["category", "ways", "vertices", "missing", "dropped_small", *(f"{w}_{n}" for n in range(1, 4) for w in ("vertices", "bytes"))]
 
     def run(batches):
         for b in batches:
             out = []
-            for category, refs, pts in zip(*(b.column(c).to_pylist() for c in ("category", "refs", "pts")), strict=True):
+            for category, refs, closed, pts in zip(*(b.column(c).to_pylist() for c in ("category", "refs", "closed", "pts")), strict=True):
                 lat, lon = (1e-9 * (np.array([p[c] for p in pts], float) * 100) for c in ("lat_e7", "lon_e7"))
-                sizes = []
-                for tolerance, units in k.ESTIMATE_LEVELS:
-                    if len(lat) < 2:
-                        sizes += [0, 0]
-                        continue
+                one, sizes, small = len(lat) >= 2, [0] * (2 * len(k.ESTIMATE_LEVELS)), False
+                if one:
                     m = geometry.EARTH_METRES * np.stack([lon * np.cos(np.radians(lat.mean())), lat], axis=1)
-                    keep = geometry.kept_points(m, tolerance)
-                    sizes += [int(keep.sum()), encoded_size(lat[keep], lon[keep], units)]
-                out.append((category, refs, refs - len(pts), int(len(lat) < 2), *sizes))
-            kinds = [pa.string(), *[pa.int64()] * (3 + 2 * len(k.ESTIMATE_LEVELS))]
-            yield _ring_rows(out, names, kinds)
+                    small = category == "area" and closed and abs(np.dot(m[:-1, 0], m[1:, 1]) - np.dot(m[1:, 0], m[:-1, 1])) / 2 < k.LEAST_AREA
+                if one and not small:
+                    kept = [(geometry.kept_points(m, tolerance), units) for tolerance, units in k.ESTIMATE_LEVELS]
+                    sizes = [v for keep, units in kept for v in (int(keep.sum()), encoded_size(lat[keep], lon[keep], units))]
+                counted = one and not small
+                out.append((category, int(counted), len(lat) * counted, refs - len(lat), int(small), *sizes))
+            yield _ring_rows(out, names, [pa.string(), *[pa.int64()] * (len(names) - 1)])
 
-    names = ["category", "vertices", "missing", "dropped", *(f"{w}_{n}" for n in range(1, 4) for w in ("vertices", "bytes"))]
     made = rows.mapInArrow(run, "category string, " + ", ".join(f"{n} long" for n in names[1:]))
-    return made.groupBy("category").agg(F.count("*").alias("ways"), *(F.sum(n).alias(n) for n in names[1:]))
+    return made.groupBy("category").agg(*(F.sum(n).alias(n) for n in names[1:]))
 
 
 def encoded_size(lat: np.ndarray, lon: np.ndarray, units: int) -> int:
@@ -425,6 +433,10 @@ def sources_json(kind: str, sources: list[dict], files: dict[str, bytes], built:
     return json.dumps({"format": kind, "built_utc": time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime(built)), "sources": sources, "files": listed}, indent=2) + "\n"
 
 
+ATTRIBUTION = "Map data © OpenStreetMap contributors, under the Open Database License (ODbL): openstreetmap.org/copyright. Not for navigation.\n"
+LICENSE = "This map data is made available under the Open Database License (ODbL) 1.0: https://opendatacommons.org/licenses/odbl/1-0/. Contents © OpenStreetMap contributors.\n"
+
+
 def manifest(folder: str, name: str = "MANIFEST.sha256") -> str:
     """Hash and name of each file of a folder by name, without the manifest itself."""
     rows = []

@@ -60,7 +60,7 @@ def test_water_features(spark, extract):
     got = {(f.ord.rank, f.cls, len(f.rings)) for f in found["features"].collect()}
     assert got == {(1, 2, 1), (2, 3, 2), (3, 16, 1), (3, 17, 1)}
     assert found["features"].filter("ord.rank = 1").count() == 2  # the lake, and the canal that is an area as well
-    assert found["stats"].first().asDict() == {"unclosed": 0, "orphan_holes": 1, "small": 0}
+    assert found["stats"].first().asDict() == {"sea": 0, "small": 1, "unclosed": 0, "orphan_holes": 1}
     assert found["features"].filter("geom = 2 and cls = 16").first().rings[0].lat == pytest.approx([44.5, 44.51])
 
 
@@ -96,7 +96,7 @@ def test_sea_makes_full_cells(spark, extract, tmp_path):
 def test_estimate(spark, extract):
     got = {e.category: e for e in packs.estimate(spark, extract).collect()}
     assert set(got) == {"area", "line", "member"} and got["line"].missing == 1 and got["line"].ways == 1
-    assert got["area"].ways == 4 and got["area"].bytes_3 > 0
+    assert got["area"].ways == 3 and got["area"].dropped_small == 1 and got["area"].bytes_3 > 0
 
 
 def test_coverage_rule(spark):
