@@ -34,8 +34,8 @@ def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="terrapack", description="Builds, reads and checks vector tile packs.")
     sub = ap.add_subparsers(dest="command", required=True)
 
-    def command(name: str, *args: str, **options):
-        p = sub.add_parser(name)
+    def command(of: str, /, *args: str, **options):
+        p = sub.add_parser(of)
         for a in args:
             p.add_argument(a)
         for o, default in options.items():

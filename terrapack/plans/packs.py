@@ -263,11 +263,11 @@ def water_tiles(features: DataFrame, cells: DataFrame, region_zoom: int = k.REGI
     cut = t.cut_features(pairs.select("ord", "geom", "cls", "attr", "rings", "rx", "ry").repartition("rx", "ry", F.xxhash64("ord")), k.WATER_LEVELS, region_zoom)
     sea_only = (F.size("features") == 1) & F.element_at("features", 1)["full"] & (F.element_at("features", 1)["cls"] == 1)
     item = F.struct("ord", "geom", "cls", "attr", "parts", "full")
-    grouped = cut.groupBy("level", "x", "y").agg(F.array_sort(F.collect_list(item)).alias("features")).withColumn("open_sea", sea_only)
+    grouped = cut.groupBy("level", "x", "y").agg(F.array_sort(F.collect_list(item)).alias("features")).withColumn("open_sea", sea_only).persist()
     out, grids = None, {}
     for level, (zoom, *_) in enumerate(k.WATER_LEVELS):
         here = grouped.filter(F.col("level") == level)
-        grids[level] = r.coverage(here.select("x", "y", "open_sea"), cells, zoom)
+        grids[level] = r.coverage(here.select("x", "y", "open_sea"), cells, zoom).persist()
         stored = r.fill_full_cells(here.select("x", "y", "open_sea"), grids[level], zoom)
         rows = stored.join(here.select("x", "y", "features"), ["x", "y"], "left").select(F.lit(level).alias("level"), "x", "y", "features")
         out = rows if out is None else out.unionByName(rows)
@@ -279,7 +279,7 @@ def build_water(spark: SparkSession, extract: str, sea: str | None = None, build
     stamp = 0
     if features is None:
         found = collect_water(spark, extract, sea)
-        features, cells = found["features"], found["cells"]
+        features, cells = found["features"].persist(), found["cells"].persist()
         stamp = spark.read.format("osm_pbf").option("element", "header").load(extract).first()[0] or int(os.stat(extract).st_mtime)
     tiles, grids = water_tiles(features, cells, region_zoom)
     key = None
