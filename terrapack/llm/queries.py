@@ -22,7 +22,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLES: dict[str, str] = {
     "op4_line_dedup": lines.ORACLE,
-    "op8_extraction": extraction.op8_extraction,
     "op9_secrets": secrets.ORACLE,
     "op10_top_k": knn.ORACLE,
 }
