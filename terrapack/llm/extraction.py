@@ -214,12 +214,10 @@ def host_of(url: str = "url"):
 
 
 def main_text(page: str | None, template: set[tuple[str, int]]) -> str:
-    """The blocks of the article, or of all that is not template where the page has no article, joined by line feeds."""
+    """The blocks that the wrapper does not tell as template, of the article where the page has one, joined by line feeds."""
     found = [b for b in blocks(page or "") if not b[2]]
     inside = [b for b in found if b[1]]
-    if inside:
-        return "\n".join(b[3] for b in inside)
-    return "\n".join(b[3] for b in found if ("/".join(b[0]), zlib.crc32(b[3].encode("utf-8", "replace"))) not in template)
+    return "\n".join(b[3] for b in inside or found if ("/".join(b[0]), zlib.crc32(b[3].encode("utf-8", "replace"))) not in template)
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -294,6 +294,18 @@ def test_extraction(spark):
     assert extraction.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def texts_of(spark, bodies):
+    """Main texts of pages of one host, in order."""
+    pages = spark.createDataFrame([(k, f"http://one.org/{k}", f"<html><body>{b}</body></html>") for k, b in enumerate(bodies)], "page_id long, url string, html string")
+    return [r.text for r in sorted(extraction.extract(pages).collect(), key=lambda r: r.page_id)]
+
+
+def test_wrapper_decides_within_an_article(spark):
+    bodies = [f"<article><p>story {w}</p><div class=box><p>Written by our staff</p></div></article>" for w in ("uno", "dos", "tres")]
+    assert texts_of(spark, bodies) == ["story uno", "story dos", "story tres"]
+    assert texts_of(spark, bodies[:1]) == ["story uno\nWritten by our staff"]
+
+
 def test_wrappers_align():
     a = extraction.page_tree(extraction.blocks("<body><nav>x</nav><div><p>one</p></div></body>"))
     b = extraction.page_tree(extraction.blocks("<body><nav>x</nav><section>new</section><div><p>two</p><p>three</p></div></body>"))
