@@ -1,7 +1,8 @@
 """HTML extraction by union-free wrappers, inferred for each host.
 
 The pages of a host are aligned one after another as trees of tags and texts. Neighbours of one kind become a repeated
-group, what some pages lack becomes optional, and texts that differ become slots; what stays constant is template.
+group, what some pages lack becomes optional, and texts that differ become slots; a text that more than half of the
+pages with its region agree on is template.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +24,8 @@ from .common import add_in_arrow, stored, table
 FAN_IN = 256
 #: Pages that must agree on a text before it counts as template.
 CONSTANT_PAGES = 3
+#: A text on fewer than one in so many of its region's pages is a slot's; template is what more than half have.
+RARE = 8
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(/?)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"(?i)\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 RAW = {"script", "style", "textarea", "noscript", "template", "svg", "iframe", "object", "select", "title", "head"}
@@ -29,6 +33,11 @@ INLINE = set("a abbr b bdi bdo big cite code data del dfn em font i img ins kbd
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 #: Elements that stand for a region; the others are blocks within one.
 REGIONS = set("html body div section article main nav header footer aside form table ul ol dl figure details dialog menu fieldset".split())
+#: Elements that a new one ends where their end tag was left out, and the elements beyond which nothing is ended.
+CELLS = {"td", "th", "caption", "button"}
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+ENDS = {"li": (("li",), REGIONS), "dt": (("dt", "dd"), REGIONS), "dd": (("dt", "dd"), REGIONS), "td": (("td", "th"), REGIONS | {"tr"}), "th": (("td", "th"), REGIONS | {"tr"}), "tr": (("tr",), REGIONS)}
+ENDS |= {t: (("thead", "tbody", "tfoot", "caption"), REGIONS) for t in ("thead", "tbody", "tfoot")} | {h: (HEADINGS, REGIONS | CELLS) for h in HEADINGS}
 NOT_MAIN = set("nav header footer aside form menu dialog button fieldset".split())
 #: Words of classes, ids and roles that mark what is not the article.
 NOT_MAIN_WORDS = set(
@@ -42,14 +51,28 @@ def words_of(attributes: str) -> list[str]:
     return re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", entities.unescape(found)).lower())
 
 
-def blocks(page: str) -> list[tuple[tuple[str, ...], bool, bool, str]]:
-    """Blocks in page order: path of regions, whether it lies in an article, whether in what is no main text, and text.
+class Element(NamedTuple):
+    tag: str
+    label: str | None  # of a region
+    main: bool
+    marked: bool
 
-    Scripts, styles, comments and the head give none. A region's end tag closes what is open within it; an end tag
-    without its start is passed over. White space in a block is one space.
+
+class Block(NamedTuple):
+    path: tuple[str, ...]  # labels of the regions it lies in
+    tag: str  # tags of the blocks it lies in within the innermost region
+    text: str
+    inside: tuple[Element, ...]  # the articles and marked elements it lies in
+
+
+def blocks(page: str) -> list[Block]:
+    """Blocks in page order. Scripts, styles, comments and the head give none. White space in a block is one space.
+
+    A region's end tag closes what is open within it, a block's end tag what is open up to the next region; an end tag
+    without its start is passed over. Blocks whose end tags may be left out end as HTML has it.
     """
-    out: list[tuple[tuple[str, ...], bool, bool, str]] = []
-    stack: list[tuple[str, str, bool, bool]] = []  # tag, label, in an article, not main
+    out: list[Block] = []
+    stack: list[Element] = []
     parts: list[str] = []
 
     def end_block():
@@ -57,8 +80,20 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], bool, bool, str]]:
             text = " ".join(entities.unescape("".join(parts)).split())
             parts.clear()
             if text:
-                article, bad = (stack[-1][2], stack[-1][3]) if stack else (False, False)
-                out.append((tuple(x[1] for x in stack), article, bad, text))
+                tags: list[str] = []
+                for e in reversed(stack):
+                    if e.label is not None:
+                        break
+                    tags.append(e.tag)
+                out.append(Block(tuple(e.label for e in stack if e.label is not None), ".".join(reversed(tags)), text, tuple(e for e in stack if e.main or e.marked)))
+
+    def close(tags: tuple[str, ...], stops: set[str]) -> None:
+        for k in range(len(stack) - 1, -1, -1):
+            if stack[k].tag in tags:
+                del stack[k:]
+                return
+            if stack[k].tag in stops:
+                return
 
     at, size = 0, len(page)
     while at < size:
@@ -81,44 +116,53 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], bool, bool, str]]:
             continue
         end_block()
         if tag in RAW and not closing and not m[5]:
-            close = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+            closes = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
             inner = re.compile(r"<body\b", re.I).search(page, at) if tag == "head" else None
-            at = inner.start() if inner and (not close or inner.start() < close.start()) else close.end() if close else size if tag != "head" else at
-        elif tag in REGIONS and tag not in VOID:
-            if closing:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == tag:
-                        del stack[k:]
-                        break
-            elif not m[5] or tag not in VOID:
-                article, bad = (stack[-1][2], stack[-1][3]) if stack else (False, False)
+            at = inner.start() if inner and (not closes or inner.start() < closes.start()) else closes.end() if closes else size if tag != "head" else at
+        elif tag in VOID or tag in RAW:
+            pass
+        elif closing:
+            close((tag,), set() if tag in REGIONS else REGIONS)
+        else:
+            close(("p",), REGIONS | CELLS)
+            if tag in ENDS:
+                close(*ENDS[tag])
+            label = None
+            article = any(e.main for e in stack)
+            main = marked = False
+            if tag in REGIONS:
                 own = [] if tag in ("html", "body") else words_of(m[4] or "")
+                label = ".".join([tag, *own[:3]])
                 main = tag in ("article", "main") or "articlebody" in "".join(own)
-                out_of_place = tag in NOT_MAIN and not (tag == "header" and article)
-                bad = bad or out_of_place or (tag not in ("article", "main") and any(w in NOT_MAIN_WORDS and not (w == "header" and article) for w in own))
-                stack.append((tag, ".".join([tag, *own[:3]]), article or main, bad))
+                marked = (tag in NOT_MAIN and not (tag == "header" and article)) or (tag not in ("article", "main") and any(w in NOT_MAIN_WORDS and not (w == "header" and article) for w in own))
+            stack.append(Element(tag, label, main, marked))
     end_block()
     return out
 
 
-# A wrapper is [label, times, children]: times is 1, ? (optional), + or * (repeated). A text is ["#", times, hash, pages]
-# while it is constant and ["#", times, None, pages] as a slot.
+# A wrapper is [label, times, children, pages]: times is 1, ? (optional), + or * (repeated). A text is ["#", times, hash,
+# pages, tag, tally] while it is constant and has None for the hash as a slot; tag is its block's, and the tally holds
+# the pages of each of its texts, so that a page that deviates takes away no other page's count.
+
 
+def text_hash(text: str) -> str:
+    return f"{zlib.crc32(text.encode('utf-8', 'replace')):x}"
 
-def page_tree(found: list[tuple[tuple[str, ...], bool, bool, str]]) -> list:
-    """The page's own wrapper: its regions and texts, neighbours of one label folded into a repeated group."""
-    root: list = ["", "1", []]
-    for path, _, _, text in found:
+
+def page_tree(found: list[Block]) -> list:
+    """The page's own wrapper: its regions and texts in order. What a page repeats counts as one page, at its first place."""
+    root: list = ["", "1", [], 1]
+    seen = set()
+    for path, tag, text, _ in found:
         node = root
-        for label in path:
+        for depth, label in enumerate(path, 1):
             if not node[2] or node[2][-1][0] != label:
-                node[2].append([label, "1", []])
+                node[2].append([label, "1", [], int(path[:depth] not in seen)])
+                seen.add(path[:depth])
             node = node[2][-1]
-        new = ["#", "1", zlib.crc32(text.encode("utf-8", "replace")), 1]
-        if node[2] and node[2][-1][0] == "#":
-            node[2][-1] = ["#", "+", None, 1]
-        else:
-            node[2].append(new)
+        key = text_hash(text)
+        node[2].append(["#", "1", key, 1, tag, {key: int((path, tag, key) not in seen)}])
+        seen.add((path, tag, key))
     return root
 
 
@@ -127,19 +171,48 @@ def _times(a: str, b: str) -> str:
     return "*" if many and none else "+" if many else "?" if none else "1"
 
 
+def _constant(n: list, pages: int) -> bool:
+    """Whether a text is one that pages have agreed on and that is no rarity among the region's pages."""
+    return n[2] is not None and n[3] > 1 and RARE * n[3] >= pages
+
+
+def _meet(x: list, y: list, fixed: bool) -> int:
+    """How well two nodes of one region agree. A constant text agrees with the same text alone, a slot with its tag's texts."""
+    if x[0] != y[0]:
+        return 0
+    if x[0] != "#":
+        return 2
+    if x[4] != y[4]:
+        return 0
+    few, many = (x[5], y[5]) if len(x[5]) < len(y[5]) else (y[5], x[5])
+    return 3 if any(h in many for h in few) else 0 if fixed else 1
+
+
+def _joined(x: list, y: list, times: str, pages: int) -> list:
+    """The text or slot that covers two of one tag."""
+    tally = dict(x[5])
+    for h, n in y[5].items():
+        tally[h] = tally.get(h, 0) + n
+    return ["#", times, x[2] if x[2] == y[2] else None, pages, x[4], tally]
+
+
 def align(a: list, b: list) -> list:
-    """The least wrapper of this form that covers both: common labels in order are merged, the others become optional."""
-    x, y = a[2], b[2]
+    """The least wrapper of this form that covers both: nodes that agree are merged in order, the others become optional."""
+    x, y, pages = a[2], b[2], a[3] + b[3]
+    fix_x, fix_y = ([n[0] == "#" and _constant(n, w[3]) for n in w[2]] for w in (a, b))
+    meets = [[_meet(n, m, f or g) for m, g in zip(y, fix_y, strict=True)] for n, f in zip(x, fix_x, strict=True)]
     best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
     for i in range(len(x) - 1, -1, -1):
+        row, under, meet = best[i], best[i + 1], meets[i]
         for j in range(len(y) - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if x[i][0] == y[j][0] else max(best[i + 1][j], best[i][j + 1])
+            skip = under[j] if under[j] > row[j + 1] else row[j + 1]
+            row[j] = max(skip, under[j + 1] + meet[j]) if meet[j] else skip
     out, i, j = [], 0, 0
     lone = lambda n: [n[0], _times(n[1], "?"), *n[2:]]
     while i < len(x) or j < len(y):
-        if i < len(x) and j < len(y) and x[i][0] == y[j][0] and best[i][j] == best[i + 1][j + 1] + 1:
+        if i < len(x) and j < len(y) and meets[i][j] and best[i][j] == best[i + 1][j + 1] + meets[i][j]:
             times = _times(x[i][1], y[j][1])
-            out.append(["#", times, x[i][2] if x[i][2] == y[j][2] else None, x[i][3] + y[j][3]] if x[i][0] == "#" else [x[i][0], times, align(x[i], y[j])[2]])
+            out.append(_joined(x[i], y[j], times, x[i][3] + y[j][3]) if x[i][0] == "#" else [x[i][0], times, *align(x[i], y[j])[2:]])
             i, j = i + 1, j + 1
         elif j == len(y) or (i < len(x) and best[i + 1][j] >= best[i][j + 1]):
             out.append(lone(x[i]))
@@ -149,24 +222,51 @@ def align(a: list, b: list) -> list:
             j += 1
     folded: list = []
     for n in out:  # neighbours that alignment has brought together
-        if folded and folded[-1][0] == n[0]:
-            p = folded[-1]
-            folded[-1] = ["#", "*", None, p[3] + n[3]] if n[0] == "#" else [n[0], "*", align(p, n)[2]]
-        else:
+        p = folded[-1] if folded and folded[-1][0] == n[0] else None
+        if p is None or (n[0] == "#" and (p[4] != n[4] or _constant(p, pages) or _constant(n, pages))):
             folded.append(n)
-    return [a[0], _times(a[1], b[1]), folded]
+        elif n[0] == "#":
+            times = "*" if p[1] in "?*" and n[1] in "?*" else "+"
+            folded[-1] = _joined(p, n, times, max(p[3], n[3]))
+        else:
+            folded[-1] = [n[0], "*", *align(p, n)[2:]]
+    return [a[0], _times(a[1], b[1]), folded, pages]
 
 
-def template_texts(wrapper: list, path: tuple[str, ...] = ()) -> list[tuple[str, int]]:
-    """(path, hash) of the texts that the host's pages agree on."""
-    out = []
+def pruned(wrapper: list) -> list:
+    """The wrapper without the counts of texts that few of a region's pages have: its size is then bounded by a page's."""
+    out: list = []
     for n in wrapper[2]:
         if n[0] == "#":
-            if n[2] is not None and n[3] >= CONSTANT_PAGES:
-                out.append(("/".join(path), n[2]))
+            n = [*n[:5], {h: k for h, k in n[5].items() if RARE * k >= wrapper[3]}]
+            if n[2] is not None and n[2] not in n[5]:
+                n[2] = None
+            if out and out[-1][0] == "#" and out[-1][4] == n[4] and n[2] is None and out[-1][2] is None:
+                out[-1] = _joined(out[-1], n, "*" if out[-1][1] in "?*" and n[1] in "?*" else "+", max(out[-1][3], n[3]))
+                continue
+            out.append(n)
         else:
-            out += template_texts(n, (*path, n[0]))
-    return out
+            out.append(pruned(n))
+    return [*wrapper[:2], out, wrapper[3]]
+
+
+def template_texts(wrapper: list) -> list[tuple[str, str, str]]:
+    """(path, tag, hash) of the texts that most pages with their region agree on, CONSTANT_PAGES at least."""
+    pages: dict[str, int] = {}
+    texts: dict[tuple[str, str, str], int] = {}
+
+    def walk(node: list, path: tuple[str, ...]) -> None:
+        at = "/".join(path)
+        pages[at] = pages.get(at, 0) + node[3]
+        for n in node[2]:
+            if n[0] != "#":
+                walk(n, (*path, n[0]))
+                continue
+            for h, k in n[5].items():
+                texts[at, n[4], h] = texts.get((at, n[4], h), 0) + k
+
+    walk(wrapper, ())
+    return [t for t, k in texts.items() if k >= CONSTANT_PAGES and 2 * k > pages[t[0]]]
 
 
 def infer_wrappers(pages: DataFrame) -> DataFrame:
@@ -191,11 +291,11 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
                 else:
                     if key is not None:
                         rows[0].append(key[0])
-                        rows[1].append(json.dumps(tree))
+                        rows[1].append(json.dumps(pruned(tree)))
                     key, tree = (host, part), new
         if key is not None:
             rows[0].append(key[0])
-            rows[1].append(json.dumps(tree))
+            rows[1].append(json.dumps(pruned(tree)))
         yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.string()), pa.array(rows[1], pa.string())], names=["host", "wrapper"])
 
     now = stored(add_in_arrow(pages.select("host", "html"), ["html"], {"wrapper": "string"}, trees).select("host", "wrapper"), "page-trees")
@@ -213,11 +313,11 @@ def host_of(url: str = "url"):
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1)), F.lit(""))
 
 
-def main_text(page: str | None, template: set[tuple[str, int]]) -> str:
+def main_text(page: str | None, template: set[tuple[str, str, str]]) -> str:
     """The blocks that the wrapper does not tell as template, of the article where the page has one, joined by line feeds."""
-    found = [b for b in blocks(page or "") if not b[2]]
-    inside = [b for b in found if b[1]]
-    return "\n".join(b[3] for b in inside or found if ("/".join(b[0]), zlib.crc32(b[3].encode("utf-8", "replace"))) not in template)
+    found = [b for b in blocks(page or "") if not any(e.marked for e in b.inside)]
+    inside = [b for b in found if b.inside]
+    return "\n".join(b.text for b in inside or found if ("/".join(b.path), b.tag, text_hash(b.text)) not in template)
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -242,7 +342,7 @@ def extract(pages: DataFrame) -> DataFrame:
         def texts(htmls: list, found: list) -> list:
             sets.clear()
             for t in set(found):
-                sets[t] = {(p, h) for p, h in json.loads(t or "[]")}
+                sets[t] = {tuple(x) for x in json.loads(t or "[]")}
             out = [main_text(h, sets[t]) for h, t in zip(htmls, found, strict=True)]
             return [out, [len(x) for x in out]]
 

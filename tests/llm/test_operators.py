@@ -306,6 +306,25 @@ def test_wrapper_decides_within_an_article(spark):
     assert texts_of(spark, bodies[:1]) == ["story uno\nWritten by our staff"]
 
 
+def test_template_texts_among_blocks(spark):
+    pages = [f"<div><p>Menu same</p><p>text {w}</p></div><div class=end><p>Imprint</p><p>Contact</p><ul><li>one<li>two</ul></div>" for w in ("uno", "dos", "tres", "cuatro")]
+    assert texts_of(spark, pages) == ["text uno", "text dos", "text tres", "text cuatro"]
+    deviating = [*pages, "<div><p>Other menu</p><p>text seis</p></div>"]
+    assert texts_of(spark, deviating) == ["text uno", "text dos", "text tres", "text cuatro", "Other menu\ntext seis"]
+    rare = [f"<article><p>text {k}</p>" + "<p>a common saying</p>" * (k < 3) + "<p>* * *</p><p>* * *</p>" * (k == 3) + "</article>" for k in range(9)]
+    assert texts_of(spark, rare)[2:4] == ["text 2\na common saying", "text 3\n* * *\n* * *"]
+
+
+def test_wrapper_keeps_constants_and_folds_slots():
+    tree = None
+    for k in range(40):
+        new = extraction.page_tree(extraction.blocks(f"<body><p>top</p><h2>t{k}</h2>" + "".join(f"<p>{k} {n}</p>" for n in range(k % 7)) + "<p>end</p></body>"))
+        tree = new if tree is None else extraction.align(tree, new)
+    tree = extraction.pruned(tree)
+    assert [(n[0], n[1], n[2] is None, n[4]) for n in tree[2][0][2]] == [("#", "1", False, "p"), ("#", "1", True, "h2"), ("#", "*", True, "p"), ("#", "1", False, "p")]
+    assert sorted(extraction.template_texts(tree)) == sorted(("body", "p", extraction.text_hash(t)) for t in ("top", "end"))
+
+
 def test_wrappers_align():
     a = extraction.page_tree(extraction.blocks("<body><nav>x</nav><div><p>one</p></div></body>"))
     b = extraction.page_tree(extraction.blocks("<body><nav>x</nav><section>new</section><div><p>two</p><p>three</p></div></body>"))
