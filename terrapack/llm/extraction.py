@@ -27,7 +27,7 @@ CONSTANT_PAGES = 3
 #: A text on fewer than one in so many of its region's pages is a slot's; template is what more than half have.
 RARE = 8
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(/?)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"(?i)\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 RAW = {"script", "style", "textarea", "noscript", "template", "svg", "iframe", "object", "select", "title", "head"}
 INLINE = set("a abbr b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
@@ -46,16 +46,55 @@ NOT_MAIN_WORDS = set(
 )
 
 
+#: Words that may stand beside such a word in one name: comment-list, site-header. With any other word the name says
+#: something else: has-sidebar, ad-free, side-effects.
+BESIDE = set("list item items box container wrapper wrap block area section bar slot unit site page post global main top bottom left right inner outer content text form link links button buttons icon icons posts articles primary secondary desktop mobile".split())
+
+
+def named(attributes: str) -> dict[str, str]:
+    """The values of class, id and role; the first of each counts."""
+    out: dict[str, str] = {}
+    for name, *values in ATTRIBUTE.findall(attributes):
+        if name.lower() in ("class", "id", "role"):
+            out.setdefault(name.lower(), entities.unescape("".join(values)))
+    return out
+
+
+def parts_of(name: str) -> list[str]:
+    return re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower())
+
+
 def words_of(attributes: str) -> list[str]:
-    found = " ".join(b or c or d for _, b, c, d in ATTRIBUTE.findall(attributes))
-    return re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", entities.unescape(found)).lower())
+    return [w for value in named(attributes).values() for w in parts_of(value)]
+
+
+def marks(value: str, in_article: bool) -> bool:
+    """Whether one of the names, as a whole, says that this is not the article. An article may have a header of its own."""
+    for name in value.split():
+        parts = parts_of(name)
+        says = {w for w in parts if w in NOT_MAIN_WORDS and not (w == "header" and (in_article or "post" in parts))}
+        if says and all(w in NOT_MAIN_WORDS or w in BESIDE for w in parts):
+            return True
+    return False
+
+
+def mark_of(tag: str, names: dict[str, str], in_article: bool) -> str:
+    if tag in NOT_MAIN and not (tag == "header" and in_article):
+        return "sure"
+    if any(marks(names.get(a, ""), in_article) for a in ("class", "role")):
+        return "sure"
+    if marks(names.get("id", ""), in_article):
+        return "by id" if in_article else "sure"
+    return ""
 
 
 class Element(NamedTuple):
     tag: str
     label: str | None  # of a region
     main: bool
-    marked: bool
+    mark: str  # "sure", "by id" (an article's headings have ids too, so pages must agree on the region), or empty
+    number: int  # in page order
+    depth: int  # regions down to it
 
 
 class Block(NamedTuple):
@@ -85,7 +124,7 @@ def blocks(page: str) -> list[Block]:
                     if e.label is not None:
                         break
                     tags.append(e.tag)
-                out.append(Block(tuple(e.label for e in stack if e.label is not None), ".".join(reversed(tags)), text, tuple(e for e in stack if e.main or e.marked)))
+                out.append(Block(tuple(e.label for e in stack if e.label is not None), ".".join(reversed(tags)), text, tuple(e for e in stack if e.main or e.mark)))
 
     def close(tags: tuple[str, ...], stops: set[str]) -> None:
         for k in range(len(stack) - 1, -1, -1):
@@ -95,7 +134,7 @@ def blocks(page: str) -> list[Block]:
             if stack[k].tag in stops:
                 return
 
-    at, size = 0, len(page)
+    at, size, number = 0, len(page), 0
     while at < size:
         m = TOKEN.search(page, at)
         if m is None:
@@ -129,13 +168,16 @@ def blocks(page: str) -> list[Block]:
                 close(*ENDS[tag])
             label = None
             article = any(e.main for e in stack)
-            main = marked = False
+            main, mark = False, ""
             if tag in REGIONS:
-                own = [] if tag in ("html", "body") else words_of(m[4] or "")
+                names = {} if tag in ("html", "body") else named(m[4] or "")
+                own = [w for value in names.values() for w in parts_of(value)]
                 label = ".".join([tag, *own[:3]])
                 main = tag in ("article", "main") or "articlebody" in "".join(own)
-                marked = (tag in NOT_MAIN and not (tag == "header" and article)) or (tag not in ("article", "main") and any(w in NOT_MAIN_WORDS and not (w == "header" and article) for w in own))
-            stack.append(Element(tag, label, main, marked))
+                if tag not in ("article", "main"):
+                    mark = mark_of(tag, names, article)
+            number += 1
+            stack.append(Element(tag, label, main, mark, number, sum(e.label is not None for e in stack) + (label is not None)))
     end_block()
     return out
 
@@ -251,7 +293,10 @@ def pruned(wrapper: list) -> list:
 
 
 def template_texts(wrapper: list) -> list[tuple[str, str, str]]:
-    """(path, tag, hash) of the texts that most pages with their region agree on, CONSTANT_PAGES at least."""
+    """(path, tag, hash) of the texts that most pages with their region agree on, CONSTANT_PAGES at least.
+
+    With an empty tag and hash: paths of regions with a word of NOT_MAIN_WORDS that CONSTANT_PAGES have.
+    """
     pages: dict[str, int] = {}
     texts: dict[tuple[str, str, str], int] = {}
 
@@ -266,7 +311,8 @@ def template_texts(wrapper: list) -> list[tuple[str, str, str]]:
                 texts[at, n[4], h] = texts.get((at, n[4], h), 0) + k
 
     walk(wrapper, ())
-    return [t for t, k in texts.items() if k >= CONSTANT_PAGES and 2 * k > pages[t[0]]]
+    regions = [(at, "", "") for at, k in pages.items() if k >= CONSTANT_PAGES and not NOT_MAIN_WORDS.isdisjoint(at.rsplit("/", 1)[-1].split("."))]
+    return regions + [t for t, k in texts.items() if k >= CONSTANT_PAGES and 2 * k > pages[t[0]]]
 
 
 def infer_wrappers(pages: DataFrame) -> DataFrame:
@@ -313,11 +359,46 @@ def host_of(url: str = "url"):
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1)), F.lit(""))
 
 
+def size_of(found: list[Block]) -> int:
+    return sum(len(b.text) for b in found)
+
+
+def chosen(found: list[Block], template: set[tuple[str, str, str]]) -> list[Block]:
+    """What is main text among a page's blocks that are no template.
+
+    Marked elements are left out, but not those around the page's main article, which is the largest one if it holds
+    more than all that is unmarked outside of it: a page's layout is no sidebar.
+    """
+
+    def marked(b: Block, e: Element) -> bool:
+        return e.mark == "sure" or (e.mark == "by id" and ("/".join(b.path[: e.depth]), "", "") in template)
+
+    def free(b: Block, around: frozenset[int] | set[int] = frozenset()) -> bool:
+        return not any(marked(b, e) and e.number not in around for e in b.inside)
+
+    articles: dict[int, list[Block]] = {}
+    around: dict[int, set[int]] = {}
+    for b in found:
+        first = next((k for k, e in enumerate(b.inside) if e.main), None)
+        if first is not None:
+            outer = {e.number for e in b.inside[:first]}
+            if free(b, outer):
+                articles.setdefault(b.inside[first].number, []).append(b)
+                around[b.inside[first].number] = outer
+    layout: set[int] = set()
+    if articles:
+        best = max(articles, key=lambda k: (size_of(articles[k]), -k))
+        if size_of(articles[best]) > size_of([b for b in found if free(b) and all(e.number != best for e in b.inside)]):
+            layout = around[best]
+    found = [b for b in found if free(b, layout)]
+    inside = [b for b in found if any(e.main for e in b.inside)]
+    return inside or found
+
+
 def main_text(page: str | None, template: set[tuple[str, str, str]]) -> str:
     """The blocks that the wrapper does not tell as template, of the article where the page has one, joined by line feeds."""
-    found = [b for b in blocks(page or "") if not any(e.marked for e in b.inside)]
-    inside = [b for b in found if b.inside]
-    return "\n".join(b.text for b in inside or found if ("/".join(b.path), b.tag, text_hash(b.text)) not in template)
+    found = [b for b in blocks(page or "") if ("/".join(b.path), b.tag, text_hash(b.text)) not in template]
+    return "\n".join(b.text for b in chosen(found, template))
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -325,6 +325,21 @@ def test_wrapper_keeps_constants_and_folds_slots():
     assert sorted(extraction.template_texts(tree)) == sorted(("body", "p", extraction.text_hash(t)) for t in ("top", "end"))
 
 
+@pytest.mark.parametrize("outer", ["class='layout has-sidebar'", "class=no-sidebar", "id=page class='ad-free'", "class=sidebar", "data-id='menu'", "title='see id=menu'"])
+def test_a_word_around_the_article_drops_nothing(outer):
+    text = extraction.main_text(f"<body><nav>n</nav><div {outer}><article><p>the whole story</p></article></div></body>", set())
+    assert text == "the whole story"
+
+
+def test_names_are_read_as_a_whole(spark):
+    parts = "<section id='side-effects'><p>s</p></section><section id='related-work'>r</section><div id='social-history'>h</div><div data-id='menu'>d</div><section id='notice'>n</section>"
+    gone = "<div class='cookie-notice'>x</div><div class='commentList'>x</div><div role=complementary>x</div><div class='box related-posts'>x</div>"
+    assert extraction.main_text(f"<article><h1>t</h1>{parts}{gone}</article>", set()) == "t\ns\nr\nh\nd\nn"
+    pages = [f"<article><p>story {w}</p><section id=related><p>see {w}</p></section></article>" for w in ("uno", "dos", "tres")]
+    assert texts_of(spark, pages) == ["story uno", "story dos", "story tres"] and texts_of(spark, pages[:1]) == ["story uno\nsee uno"]
+    assert extraction.main_text("<div class=post>" + "long text " * 9 + "</div><div class=sidebar><article>card</article></div>", set()) == ("long text " * 9).strip()
+
+
 def test_wrappers_align():
     a = extraction.page_tree(extraction.blocks("<body><nav>x</nav><div><p>one</p></div></body>"))
     b = extraction.page_tree(extraction.blocks("<body><nav>x</nav><section>new</section><div><p>two</p><p>three</p></div></body>"))
