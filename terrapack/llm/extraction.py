@@ -174,7 +174,7 @@ def blocks(page: str) -> list[Block]:
                 own = [w for value in names.values() for w in parts_of(value)]
                 label = ".".join([tag, *own[:3]])
                 main = tag in ("article", "main") or "articlebody" in "".join(own)
-                if tag not in ("article", "main"):
+                if tag != "main":
                     mark = mark_of(tag, names, article)
             number += 1
             stack.append(Element(tag, label, main, mark, number, sum(e.label is not None for e in stack) + (label is not None)))
@@ -367,7 +367,9 @@ def chosen(found: list[Block], template: set[tuple[str, str, str]]) -> list[Bloc
     """What is main text among a page's blocks that are no template.
 
     Marked elements are left out, but not those around the page's main article, which is the largest one if it holds
-    more than all that is unmarked outside of it: a page's layout is no sidebar.
+    more than all that is unmarked outside of it: a page's layout is no sidebar. Of the rest, articles are the main text
+    if what lies outside them is no larger than the largest. If it is more than twice as large they are cards or
+    replies, and the outside is the main text. In between, and where the page has a <main>, both are kept.
     """
 
     def marked(b: Block, e: Element) -> bool:
@@ -391,8 +393,16 @@ def chosen(found: list[Block], template: set[tuple[str, str, str]]) -> list[Bloc
         if size_of(articles[best]) > size_of([b for b in found if free(b) and all(e.number != best for e in b.inside)]):
             layout = around[best]
     found = [b for b in found if free(b, layout)]
-    inside = [b for b in found if any(e.main for e in b.inside)]
-    return inside or found
+    outside = [b for b in found if not any(e.main for e in b.inside)]
+    pieces: dict[Element, int] = {}
+    for b in found:
+        first = next((e for e in b.inside if e.main), None)
+        if first is not None:
+            pieces[first] = pieces.get(first, 0) + len(b.text)
+    largest = max(pieces, key=lambda e: (pieces[e], -e.number), default=None)
+    if largest is None or (size_of(outside) > 2 * pieces[largest] and all(e.tag == "article" for e in pieces)):
+        return outside
+    return found if size_of(outside) > pieces[largest] else [b for b in found if any(e.main for e in b.inside)]
 
 
 def main_text(page: str | None, template: set[tuple[str, str, str]]) -> str:

@@ -340,6 +340,16 @@ def test_names_are_read_as_a_whole(spark):
     assert extraction.main_text("<div class=post>" + "long text " * 9 + "</div><div class=sidebar><article>card</article></div>", set()) == ("long text " * 9).strip()
 
 
+def test_articles_that_are_not_the_main_text():
+    post, cards = "<div class=post><h1>Title</h1><p>" + "long text " * 30 + "</p></div>", "".join(f"<article><h2>card {k}</h2>tease</article>" for k in range(40))
+    want = "Title\n" + ("long text " * 30).strip()
+    assert extraction.main_text(post + cards, set()) == want
+    assert extraction.main_text(f"<article>{post}<article class='comment'><p>first!</p></article></article>", set()) == want
+    assert extraction.main_text(post + "<article class='comment depth-1'>" + "reply " * 200 + "</article>", set()) == want
+    assert extraction.main_text("<p>five words stand out here</p><main>short</main>", set()) == "five words stand out here\nshort"
+    assert extraction.main_text("<p>by</p><article>one post</article><article>two posts</article>", set()) == "one post\ntwo posts"
+
+
 def test_wrappers_align():
     a = extraction.page_tree(extraction.blocks("<body><nav>x</nav><div><p>one</p></div></body>"))
     b = extraction.page_tree(extraction.blocks("<body><nav>x</nav><section>new</section><div><p>two</p><p>three</p></div></body>"))
