@@ -28,13 +28,15 @@ CONSTANT_PAGES = 3
 RARE = 8
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(/?)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+MAY_MARK = re.compile(r"(?i)class|id|role")
 RAW = {"script", "style", "textarea", "noscript", "template", "svg", "iframe", "object", "select", "title", "head"}
-INLINE = set("a abbr b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = set("a abbr b bdi bdo big button cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 #: Elements that stand for a region; the others are blocks within one.
 REGIONS = set("html body div section article main nav header footer aside form table ul ol dl figure details dialog menu fieldset".split())
 #: Elements that a new one ends where their end tag was left out, and the elements beyond which nothing is ended.
-CELLS = {"td", "th", "caption", "button"}
+CELLS = {"td", "th", "caption"}
+NOT_INLINE: set[str] = set()  # stands for all others
 HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 ENDS = {"li": (("li",), REGIONS), "dt": (("dt", "dd"), REGIONS), "dd": (("dt", "dd"), REGIONS), "td": (("td", "th"), REGIONS | {"tr"}), "th": (("td", "th"), REGIONS | {"tr"}), "tr": (("tr",), REGIONS)}
 ENDS |= {t: (("thead", "tbody", "tfoot", "caption"), REGIONS) for t in ("thead", "tbody", "tfoot")} | {h: (HEADINGS, REGIONS | CELLS) for h in HEADINGS}
@@ -84,7 +86,7 @@ def mark_of(tag: str, names: dict[str, str], in_article: bool) -> str:
     if any(marks(names.get(a, ""), in_article) for a in ("class", "role")):
         return "sure"
     if marks(names.get("id", ""), in_article):
-        return "by id" if in_article else "sure"
+        return "sure" if not in_article else "" if tag in INLINE or tag in HEADINGS else "by id"
     return ""
 
 
@@ -119,36 +121,53 @@ def blocks(page: str) -> list[Block]:
             text = " ".join(entities.unescape("".join(parts)).split())
             parts.clear()
             if text:
+                last = len(stack)
+                while last and stack[last - 1].tag in INLINE:
+                    last -= 1
                 tags: list[str] = []
-                for e in reversed(stack):
+                for e in reversed(stack[:last]):
                     if e.label is not None:
                         break
-                    tags.append(e.tag)
-                out.append(Block(tuple(e.label for e in stack if e.label is not None), ".".join(reversed(tags)), text, tuple(e for e in stack if e.main or e.mark)))
+                    tags.append(e.tag + "#" * (e.mark == "by id"))
+                out.append(Block(tuple(e.label for e in stack[:last] if e.label is not None), ".".join(reversed(tags)), text, tuple(e for e in stack[:last] if e.main or e.mark)))
+
+    def say(text: str) -> None:
+        if not stack or stack[-1].tag not in INLINE:  # only marked inline elements, and those within them, are on the stack
+            parts.append(text)
 
     def close(tags: tuple[str, ...], stops: set[str]) -> None:
         for k in range(len(stack) - 1, -1, -1):
             if stack[k].tag in tags:
                 del stack[k:]
                 return
-            if stack[k].tag in stops:
+            if stack[k].tag in stops or (stops is NOT_INLINE and stack[k].tag not in INLINE):
                 return
 
     at, size, number = 0, len(page), 0
     while at < size:
         m = TOKEN.search(page, at)
         if m is None:
-            parts.append(page[at:])
+            say(page[at:])
             break
         if m.start() > at:
-            parts.append(page[at : m.start()])
+            say(page[at : m.start()])
         at = m.end()
         if m[3] is None:
             if m[1]:
-                parts.append(m[1].replace("&", "&amp;"))
+                say(m[1].replace("&", "&amp;"))
             continue
         tag, closing = m[3].lower(), bool(m[2])
         if tag in INLINE:
+            within = bool(stack) and stack[-1].tag in INLINE
+            if closing and within:
+                close((tag,), NOT_INLINE)
+            elif not closing and tag not in VOID:
+                mark = ""
+                if tag in NOT_MAIN or (m[4] and MAY_MARK.search(m[4]) and all(e.tag != "pre" for e in stack)):  # highlighted code has comments
+                    mark = mark_of(tag, named(m[4] or ""), any(e.main for e in stack))
+                if mark or within:
+                    number += 1
+                    stack.append(Element(tag, None, False, mark, number, sum(e.label is not None for e in stack)))
             continue
         if tag == "br":
             parts.append(" ")
@@ -168,14 +187,13 @@ def blocks(page: str) -> list[Block]:
                 close(*ENDS[tag])
             label = None
             article = any(e.main for e in stack)
-            main, mark = False, ""
+            main = False
+            names = named(m[4]) if m[4] and tag not in ("html", "body") and MAY_MARK.search(m[4]) else {}
+            mark = mark_of(tag, names, article) if tag != "main" else ""
             if tag in REGIONS:
-                names = {} if tag in ("html", "body") else named(m[4] or "")
                 own = [w for value in names.values() for w in parts_of(value)]
                 label = ".".join([tag, *own[:3]])
                 main = tag in ("article", "main") or "articlebody" in "".join(own)
-                if tag != "main":
-                    mark = mark_of(tag, names, article)
             number += 1
             stack.append(Element(tag, label, main, mark, number, sum(e.label is not None for e in stack) + (label is not None)))
     end_block()
@@ -295,10 +313,11 @@ def pruned(wrapper: list) -> list:
 def template_texts(wrapper: list) -> list[tuple[str, str, str]]:
     """(path, tag, hash) of the texts that most pages with their region agree on, CONSTANT_PAGES at least.
 
-    With an empty tag and hash: paths of regions with a word of NOT_MAIN_WORDS that CONSTANT_PAGES have.
+    With an empty hash: regions (and an empty tag) and blocks that are marked by id on CONSTANT_PAGES pages.
     """
     pages: dict[str, int] = {}
     texts: dict[tuple[str, str, str], int] = {}
+    by_id: dict[tuple[str, str, str], int] = {}
 
     def walk(node: list, path: tuple[str, ...]) -> None:
         at = "/".join(path)
@@ -307,11 +326,14 @@ def template_texts(wrapper: list) -> list[tuple[str, str, str]]:
             if n[0] != "#":
                 walk(n, (*path, n[0]))
                 continue
+            if "#" in n[4]:
+                by_id[at, n[4], ""] = max(by_id.get((at, n[4], ""), 0), n[3])
             for h, k in n[5].items():
                 texts[at, n[4], h] = texts.get((at, n[4], h), 0) + k
 
     walk(wrapper, ())
     regions = [(at, "", "") for at, k in pages.items() if k >= CONSTANT_PAGES and not NOT_MAIN_WORDS.isdisjoint(at.rsplit("/", 1)[-1].split("."))]
+    regions += [t for t, k in by_id.items() if k >= CONSTANT_PAGES]
     return regions + [t for t, k in texts.items() if k >= CONSTANT_PAGES and 2 * k > pages[t[0]]]
 
 
@@ -373,7 +395,9 @@ def chosen(found: list[Block], template: set[tuple[str, str, str]]) -> list[Bloc
     """
 
     def marked(b: Block, e: Element) -> bool:
-        return e.mark == "sure" or (e.mark == "by id" and ("/".join(b.path[: e.depth]), "", "") in template)
+        if e.mark != "by id":
+            return e.mark == "sure"
+        return ("/".join(b.path[: e.depth]), "", "") in template if e.label is not None else ("/".join(b.path), b.tag, "") in template
 
     def free(b: Block, around: frozenset[int] | set[int] = frozenset()) -> bool:
         return not any(marked(b, e) and e.number not in around for e in b.inside)

@@ -350,6 +350,19 @@ def test_articles_that_are_not_the_main_text():
     assert extraction.main_text("<p>by</p><article>one post</article><article>two posts</article>", set()) == "one post\ntwo posts"
 
 
+@pytest.mark.parametrize(
+    "gone", ["<p class='advert'>x</p>", "<p class='cookie-notice'>x</p>", "<li class='comment'><p>x</p><p>y</p></li>", "<h2 class='newsletter'>x</h2>", "<p role=navigation>x<p>", "<button>x</button>", "<button><span>x</span></button>", "<p><span class='ad'>x <b>y</b></span></p>", "<a class='share'>x</a>"]
+)
+def test_marks_on_any_element(gone):
+    assert extraction.main_text(f"<article><p>one</p>{gone}<p>two</p></article>", set()) == "one\ntwo"
+
+
+def test_marks_within_a_block(spark):
+    assert extraction.main_text("<article><p>one <span class=ad>x<b>y</b><i>z</span> two <button>Copy</button></p><p>three<pre><span class='token comment'># why</span></pre><h2 id=search>Search</h2><span class=ad>q<p>r</p></span>s</article>", set()) == "one two\nthree\n# why\nSearch\ns"
+    pages = [f"<article><p>story {w}</p><p id=sponsor>by {w}</p></article>" for w in ("uno", "dos", "tres")]
+    assert texts_of(spark, pages) == ["story uno", "story dos", "story tres"] and texts_of(spark, pages[:1]) == ["story uno\nby uno"]
+
+
 def test_wrappers_align():
     a = extraction.page_tree(extraction.blocks("<body><nav>x</nav><div><p>one</p></div></body>"))
     b = extraction.page_tree(extraction.blocks("<body><nav>x</nav><section>new</section><div><p>two</p><p>three</p></div></body>"))
