@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import string
 
 import numpy as np
@@ -11,20 +12,25 @@ from pyspark.sql import functions as F
 from .common import add_in_arrow, table
 from .words import MIX, Words, shingles
 
-#: Words of a seed, and the fewest that a tile may have.
+#: Words of a seed, and the fewest that a tile may have; an item of fewer words is one seed and one tile.
 SEED_WORDS = 5
 #: Share of an item's words that tiles must cover.
 COVERAGE = 0.8
 #: Seeds of the items that the documents meet in one pass; a larger benchmark is met in as many passes as it takes.
 SEEDS_PER_PASS = 1_000_000
 PUNCTUATION = string.punctuation.encode()
+#: Letters of scripts without spaces (Thai, Lao, Burmese, Khmer, kana, Han): each is a word.
+SPACELESS = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
 
 
 class PlainWords(Words):
-    """Hashes of a text's words in lower case, without ASCII punctuation."""
+    """Hashes of a text's words in lower case, without ASCII punctuation; letters of scripts without spaces are words."""
 
     def __call__(self, text: str | None) -> np.ndarray:
-        return super().__call__((text or "").lower().encode("utf-8", "surrogatepass").translate(None, PUNCTUATION).decode("utf-8", "surrogatepass"))
+        text = (text or "").lower()
+        if not text.isascii():
+            text = SPACELESS.sub(r" \g<0> ", text)
+        return super().__call__(text.encode("utf-8", "surrogatepass").translate(None, PUNCTUATION).decode("utf-8", "surrogatepass"))
 
 
 def _windows(words: np.ndarray, free: np.ndarray, size: int, scale: int) -> tuple[np.ndarray, np.ndarray]:
@@ -94,7 +100,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
 
     Words are compared in lower case and without ASCII punctuation. Documents and items meet where they share a seed,
     `least` words in a row; items in which the shared seeds reach less than `coverage` are passed over, as no tiling
-    can cover more. An item of fewer than `least` words has no seed and is in no text. Null and empty texts hold no
+    can cover more. An item of fewer than `least` words is a seed as a whole. Null and empty texts hold no
     items, null item texts are in no text. Repeated item rows are reported each. The benchmark goes to the tasks in
     parts of about `seeds_per_pass` seeds, one pass over the documents for each.
     """
@@ -112,7 +118,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
         def work():
             words, known = PlainWords(), [(i, t) for i, t in shared.value]
             tokens = [words(t) for _, t in known]
-            seeds = [shingles(x, least) if len(x) >= least else x[:0] for x in tokens]
+            seeds = [shingles(x, least) for x in tokens]
+            sizes = sorted({min(least, len(x)) for x in tokens if len(x)})
             flat = np.concatenate([*seeds, np.zeros(0, np.uint64)])
             order = np.argsort(flat, kind="stable")
             flat, of = flat[order], np.repeat(np.arange(len(seeds)), [len(x) for x in seeds])[order]
@@ -122,19 +129,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
 
             def tiled(text: str | None, had: list) -> list:
                 x = words(text)
-                if len(x) < least or not len(flat):
+                if not len(flat) or len(x) < sizes[0]:
                     return had
-                h = shingles(x, least)
+                h = np.concatenate([shingles(x, n) for n in sizes if n <= len(x)])
                 h = np.unique(h[table_[(h >> np.uint64(44)).astype(np.int64)]])
                 low, high = np.searchsorted(flat, h, "left"), np.searchsorted(flat, h, "right")
                 hit = np.concatenate([*(np.arange(a, b) for a, b in zip(low, high, strict=True) if b > a), np.zeros(0, int)]).astype(np.int64)
                 found = []
                 for item in np.unique(of[hit]).tolist():
                     reach = np.zeros(len(tokens[item]), bool)
-                    for j in range(least):
+                    seed = min(least, len(reach))
+                    for j in range(seed):
                         reach[at[hit[of[hit] == item]] + j] = True
                     if reach.sum() >= coverage * len(reach):
-                        n = sum(t[2] for t in greedy_tiles(tokens[item], x, least))
+                        n = sum(t[2] for t in greedy_tiles(tokens[item], x, seed))
                         if n >= coverage * len(reach):
                             found.append({"item_id": known[item][0], "item_words": len(reach), "tiled_words": n})
                 return [*had, *found]

@@ -241,6 +241,13 @@ def test_decontamination(spark, docs, none):
     assert decontamination.contaminated(docs, bench.limit(0)).filter(F.size("items") > 0).count() == 0
 
 
+def test_short_items_and_scripts_without_spaces(spark):
+    bench = spark.createDataFrame([(1, "Four words, no more!"), (2, "Paris"), (3, "\u6c34\u306f\u4f55\u5ea6\u3067\u6cb8\u9a30\u3057\u307e\u3059\u304b"), (4, "???"), (5, "one two three four five six")], "item_id int, text string")
+    texts = ["these four words no more here", "four words or no more", "paris", "\u554f: \u6c34\u306f\u4f55\u5ea6\u3067\u6cb8\u9a30\u3057\u307e\u3059\u304b\u3002\u7b54", "", "one two three four"]
+    got = decontamination.contaminated(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), bench).collect()
+    assert [[i.item_id for i in r["items"]] for r in sorted(got)] == [[1], [], [2], [3], [], []]
+
+
 def test_greedy_tiles_against_brute_force():
     random.seed(1)
     for _ in range(200):
