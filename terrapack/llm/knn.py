@@ -75,7 +75,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = NEIGHBOURS, pivots: int
     if not chosen:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     centres, centre_ids = _matrix([x["v"] for x in chosen], width), np.array([x["vec_id"] for x in chosen])
-    half = (centres**2).sum(1) / 2
+    half, longest = (centres**2).sum(1) / 2, np.sqrt((centres**2).sum(1).max())
 
     def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -96,8 +96,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = NEIGHBOURS, pivots: int
             q, ids = _matrix(b["v"].to_numpy(), width), b["vec_id"].to_numpy()
             known = np.where(ids[:, None] == centre_ids[None, :], -np.inf, q @ centres.T)
             below = -np.partition(-known, k - 1, axis=1)[:, k - 1] if known.shape[1] >= k else np.full(len(b), -np.inf)
+            below = below - 1e-9 * (1 + np.sqrt((q**2).sum(1)) * longest)  # products beyond 2**53 are rounded here, and exact in the cells
             above = q @ centres[seen].T + np.sqrt((q**2).sum(1))[:, None] * radius[None, :]
-            slack = 1e-9 * (1 + np.abs(above))
+            slack = 1e-9 * (1 + np.sqrt((q**2).sum(1))[:, None] * (longest + radius[None, :]))
             at, cell = np.nonzero(above + slack >= below[:, None])
             times = blocks[cell]
             at, cell = np.repeat(at, times), np.repeat(cell, times)

@@ -422,6 +422,17 @@ def test_top_k(spark):
     assert knn.top_k(clean.limit(3), F.lit(True)).count() == 6
 
 
+def test_top_k_of_large_components(spark):
+    rng = np.random.default_rng(6)
+    vectors = [(k, [int(x) for x in rng.integers(2**28, 2**29, 5)]) for k in range(60)]
+    got = collections.defaultdict(list)
+    for r in knn.top_k(spark.createDataFrame(vectors, "vec_id long, v array<long>"), F.lit(True)).collect():
+        got[r.query_id].append((r.rank, r.vec_id, r.score))
+    for q, v in vectors:
+        scores = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), k) for k, w in vectors if k != q)[:10]
+        assert sorted(got[q]) == [(n + 1, k, -s) for n, (s, k) in enumerate(scores)]
+
+
 def repeats(texts, length):
     count = collections.Counter()
     for t in texts:
