@@ -192,8 +192,13 @@ def test_jaccard_large_groups(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "COMMON", 5)
     monkeypatch.setattr(jaccard, "CELL", 16)
     monkeypatch.setattr(jaccard, "CHUNK", 20)
+    monkeypatch.setattr(jaccard, "PAIR_CHUNK", 20)
+    monkeypatch.setattr(jaccard, "LEADERS", 2)
     monkeypatch.setattr(jaccard, "BATCH", 200)
-    got = {r.doc_id: (r.component_id, r.n_links) for r in jaccard.join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4), 4, 85, 100).collect()}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.component_id, r.n_links) for r in jaccard.join(df, 4, 85, 100).collect()}
+    classes = {r.doc_id: r.component_id for r in jaccard.join(df, 4, 85, 100, count_links=False).collect()}
+    assert classes == {k: v[0] for k, v in got.items()}
     sets = [shingle_set(t, 4) for t in texts]
     near = {k: [j for j in range(len(texts)) if j != k and 100 * len(sets[k] & sets[j]) >= 85 * len(sets[k] | sets[j])] for k in range(len(texts))}
     assert {k: len(v) for k, v in near.items()} == {k: v[1] for k, v in got.items()}
@@ -204,6 +209,49 @@ def test_jaccard_large_groups(spark, monkeypatch):
         assert got[k][0] == min(seen)
 
 
+def test_tree_passes_over_no_partner():
+    rng = np.random.default_rng(9)
+    base = [np.unique(rng.integers(0, 2**64, n, dtype=np.uint64)) for n in (5, 40, 300, 3000) for _ in range(6)]
+    sets = base + [np.unique(np.concatenate([b[: int(len(b) * f)], rng.integers(0, 2**64, 1 + len(b) // 20, dtype=np.uint64)])) for b in base for f in (1, 0.95, 0.7)]
+    n, limit = np.array([len(s) for s in sets]), jaccard.Threshold(80, 100)
+    tree = jaccard.Tree(jaccard.Points([jaccard.point(s) for s in sets]), n, np.arange(len(sets)))
+    similar = jaccard.Exact(sets, limit)
+    near = {k: {j for j in range(len(sets)) if 100 * len(np.intersect1d(sets[k], sets[j])) >= 80 * len(np.union1d(sets[k], sets[j]))} for k in range(len(sets))}
+    for k in near:
+        found = tree.near(k, limit)
+        assert near[k] <= set(found.tolist()) and set(found[similar(k, found)].tolist()) == near[k]
+    tree.take(np.arange(0, len(sets), 2))
+    assert all(set(tree.near(k, limit).tolist()) >= {j for j in near[k] if j % 2} and not any(j % 2 == 0 for j in tree.near(k, limit).tolist()) for k in near)
+
+
+def test_prefixes_share_one_order():
+    tokens, counts = np.array([3, 5, 9, 20], np.uint64), np.array([7, 2, 9, 2])
+    h = np.array([1, 3, 5, 8, 9, 20, 30], np.uint64)
+    assert jaccard.first_in_order(h, 7, tokens, counts).tolist() == [1, 8, 30, 5, 20, 3, 9]
+    assert jaccard.first_in_order(h, 2, tokens, counts).tolist() == [1, 8] and jaccard.first_in_order(h, 1, tokens, counts).tolist() == [1]
+    assert jaccard.first_in_order(h, 3, tokens[:0], counts[:0]).tolist() == [1, 3, 5]
+
+
+def test_rows_of_near_copies_grow_in_proportion(spark, monkeypatch):
+    """Copies of one text that differ in a word: the rows that candidates and verified parts take follow their number."""
+    made = {}
+    read = jaccard.candidate_links, jaccard.verified
+    counting = lambda f, name: lambda rows, *a: (made.setdefault(name, []).append(rows.count()), f(rows, *a))[1]
+    for m in (500, 1000, 2000):
+        made.clear()
+        for f, name in zip(read, ("candidate_links", "verified"), strict=True):
+            monkeypatch.setattr(jaccard, name, counting(f, name))
+        random.seed(m)
+        texts = []
+        for k in range(m):
+            w = [f"w{j}" for j in range(80)]
+            w[random.randrange(80)] = f"q{k}"
+            texts.append(" ".join(w))
+        out = jaccard.join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), count_links=False)
+        assert out.select("component_id").distinct().count() == 1
+        assert sum(made["candidate_links"]) <= 25 * m and sum(made["verified"]) <= 1.2 * m
+
+
 def test_words_and_shingles():
     of = words.Words()
     assert len(of(" a\x0bB\x85c d  ")) == 2 and len(of(None)) == 0
