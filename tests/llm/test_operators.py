@@ -237,7 +237,7 @@ def test_rows_of_near_copies_grow_in_proportion(spark, monkeypatch):
     made = {}
     read = jaccard.candidate_links, jaccard.verified
     counting = lambda f, name: lambda rows, *a: (made.setdefault(name, []).append(rows.count()), f(rows, *a))[1]
-    for m in (500, 1000, 2000):
+    for m in (400, 1200):
         made.clear()
         for f, name in zip(read, ("candidate_links", "verified"), strict=True):
             monkeypatch.setattr(jaccard, name, counting(f, name))
