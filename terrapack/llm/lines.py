@@ -27,14 +27,14 @@ def dedup_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFram
     Lines are exploded as hashes, once for each document and hash, and counted; repeated rows count as documents of
     their own. The frequent hashes are joined to the hashes of each distinct text, and each text gets its list back,
     by which its lines are filtered in place: their order is that of the text, and only hashes and one copy of the
-    texts are shuffled. A null text is one empty line, and so is an empty one; it stays. A text that loses all its
+    texts are shuffled. The lists are a table of their own, so that a text of many copies is joined by several tasks. A null text is one empty line, and so is an empty one; it stays. A text that loses all its
     lines becomes empty. Column names that start with __tp_ are reserved.
     """
     rows = docs.withColumn("__tp_lines", F.split(text_or_empty(), "\n", -1))
     hashes = F.array_compact(F.array_distinct(F.transform("__tp_lines", line_hash)))
     lines = rows.select(content_id(text_or_empty()).alias("__tp_id"), F.explode(hashes).alias("hash"))
     frequent = stored(lines.groupBy("hash").agg(F.count("*").alias("n")).filter(F.col("n") >= min_documents).select("hash"), "frequent-lines")
-    texts = lines.join(frequent, "hash", "left_semi").groupBy("__tp_id").agg(F.collect_set("hash").alias("__tp_drop"))
+    texts = stored(lines.join(frequent, "hash", "left_semi").groupBy("__tp_id").agg(F.collect_set("hash").alias("__tp_drop")), "texts-to-cut")
     keep = lambda x: ~F.coalesce(F.array_contains("__tp_drop", line_hash(x)), F.lit(False))
     out = rows.withColumn("__tp_id", content_id(text_or_empty())).join(texts, "__tp_id", "left")
     out = out.withColumn("__tp_kept", F.when(F.col("__tp_drop").isNull(), F.col("__tp_lines")).otherwise(F.filter("__tp_lines", keep)))
