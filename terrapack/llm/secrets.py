@@ -7,9 +7,6 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
-from functools import reduce
-from re import _constants as op
-from re import _parser
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,33 +35,67 @@ MORE = (Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"), Rule("github", r"gh[
 RULES = BASE + MORE
 #: Alternatives of one regex that are told apart; a part with more is left out of the query, which then admits more.
 ALTERNATIVES = 64
+#: Characters of a class that are told apart.
+FEW_CHARACTERS = 8
+#: Matches whose places are summed together.
+CHUNK = 128
 _GAP = None  # ends a run of literal characters
+_TOKEN = re.compile(r"""\(\?[a-z]+\)|\[\^?\]?(?:\\.|[^\]\\])*\]|\\x[0-9A-Fa-f]{2}|\\.|\(\?:|[()|]|\{\d+(?:,\d*)?\}\??|[*+?]\??|.""", re.S)
 
 
-def _literal_runs(parsed) -> list[list]:
-    """Alternatives of the parsed regex as lists of characters and gaps; every match holds the runs of one of them."""
-    out: list[list] = [[]]
-    for kind, arg in parsed:
-        if kind is op.LITERAL:
-            more = [[chr(arg)]]
-        elif kind is op.IN and len(arg) <= 8 and all(k is op.LITERAL for k, _ in arg):
-            more = [[chr(c)] for _, c in arg]
-        elif kind is op.SUBPATTERN:
-            more = _literal_runs(arg[3])
-        elif kind is op.BRANCH:
-            more = [x for branch in arg[1] for x in _literal_runs(branch)]
-        elif kind is op.MAX_REPEAT and arg[0] == 0 and arg[1] == 1:
-            more = [[], *_literal_runs(arg[2])]
-        elif kind is op.MAX_REPEAT and arg[0] >= 1:
-            inner = _literal_runs(arg[2])
-            more = inner if arg[1] == 1 else [[*x, _GAP] if arg[0] == 1 else [*x, _GAP, *x] for x in inner]
-            more = more if arg[1] == 1 else [[_GAP, *x, _GAP] if _GAP in x and len(set(x)) == 1 else [*x] for x in more]
-        else:
-            more = [[_GAP]]
-        if len(out) * len(more) > ALTERNATIVES:
-            more = [[_GAP]]
-        out = [a + b for a in out for b in more]
-    return out
+class _Regex:
+    """The literal runs of a regex of literals, classes, groups, alternatives and repeats; anything else is a gap.
+
+    A run is a list of characters and gaps, and an alternative holds one; every match holds all runs of one alternative.
+    """
+
+    def __init__(self, pattern: str):
+        self.tokens, self.at = _TOKEN.findall(pattern), 0
+
+    def alternatives(self) -> list[list]:
+        out, now = [], [[]]
+        while self.at < len(self.tokens) and self.tokens[self.at] != ")":
+            if self.tokens[self.at] == "|":
+                self.at += 1
+                out, now = out + now, [[]]
+            else:
+                more = self.repeated(self.one())
+                now = [a + b for a in now for b in (more if len(now) * len(more) <= ALTERNATIVES else [[_GAP]])]
+        return out + now
+
+    def one(self) -> list[list]:
+        token = self.tokens[self.at]
+        self.at += 1
+        if token in ("(", "(?:"):
+            found = self.alternatives()
+            self.at += 1  # the closing bracket
+            return found
+        if token.startswith("(?"):
+            return [[]]  # flags
+        if token[0] == "[" and len(token) > 1:
+            inner = re.findall(r"\\x[0-9A-Fa-f]{2}|\\.|.", token[1:-1], re.S)
+            plain = inner[0] != "^" and "-" not in inner[1:-1] and all(_character(c) for c in inner)
+            return [[_character(c)] for c in inner] if plain and len(inner) <= FEW_CHARACTERS else [[_GAP]]
+        return [[_character(token) if token not in (".", "^", "$") else _GAP]]
+
+    def repeated(self, found: list[list]) -> list[list]:
+        token = self.tokens[self.at] if self.at < len(self.tokens) else ""
+        if not re.fullmatch(r"\{\d+(,\d*)?\}\??|[*+?]\??", token):
+            return found
+        self.at += 1
+        least = int(re.match(r"\{(\d+)", token)[1]) if token[0] == "{" else int(token[0] == "+")
+        if token[0] == "?":
+            return [[], *found]
+        return [[_GAP, *x, _GAP] for x in found] if least else [[_GAP]]
+
+
+def _character(token: str) -> str | None:
+    """The one character that a token stands for, or None."""
+    if token.startswith("\\x") and len(token) == 4:
+        return chr(int(token[2:], 16))
+    if token.startswith("\\"):
+        return token[1] if not token[1].isalnum() else None
+    return token if len(token) == 1 else None
 
 
 def trigram_query(pattern: str) -> list[frozenset[str]]:
@@ -73,7 +104,7 @@ def trigram_query(pattern: str) -> list[frozenset[str]]:
     Empty if some alternative has no trigram: such a rule scans all texts.
     """
     clauses = set()
-    for runs in _literal_runs(_parser.parse(pattern)):
+    for runs in _Regex(pattern).alternatives():
         text = "".join("\0" if c is _GAP or not c.isascii() else c.lower() for c in runs)
         clauses.add(frozenset(x for k in range(len(text) - 2) if "\0" not in (x := text[k : k + 3])))
     if frozenset() in clauses:
@@ -90,30 +121,52 @@ def postings(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
 
 
 def candidates(index: DataFrame, queries: dict[str, list[frozenset[str]]]) -> DataFrame:
-    """(id, kinds): the texts in the intersections of the postings that each kind's query asks for."""
-    found = index.groupBy("id").agg(F.collect_set("trigram").alias("held"))
-    clause = lambda c: reduce(Column.__and__, (F.array_contains("held", t) for t in sorted(c)))
-    kinds = [F.when(reduce(Column.__or__, map(clause, q)), F.lit(kind)) for kind, q in queries.items() if q]
-    return found.select("id", F.array_compact(F.array(*kinds)).alias("kinds")).filter(F.size("kinds") > 0)
+    """(id, kinds): the texts in the intersections of the postings that each kind's query asks for.
+
+    Each posting meets the clauses that ask for its trigram (at most ALTERNATIVES for each rule), and a clause holds for
+    the texts that have all of its trigrams. What is alike is folded before it is shuffled.
+    """
+    asks: dict[str, list[tuple[str, int, int, int]]] = {}
+    for kind, clauses in queries.items():
+        for n, clause in enumerate(clauses):
+            for bit, trigram in enumerate(sorted(clause)):
+                asks.setdefault(trigram, []).append((kind, n, bit, (1 << len(clause)) - 1))
+    ask = lambda kind, n, bit, all_: F.struct(F.lit(kind).alias("kind"), F.lit(n).alias("clause"), F.lit(1 << bit).cast("long").alias("bit"), F.lit(all_).cast("long").alias("all"))
+    met = F.create_map(*(x for t, rows in sorted(asks.items()) for x in (F.lit(t), F.array(*(ask(*r) for r in rows)))))
+    rows = index.select("id", F.explode(F.element_at(met, F.col("trigram"))).alias("a")).select("id", "a.*")
+    held = rows.groupBy("id", "kind", "clause", "all").agg(F.bit_or("bit").alias("has")).filter(F.col("has") == F.col("all"))
+    return held.groupBy("id").agg(F.collect_set("kind").alias("kinds"))
 
 
 def match_spans(text: Column, rule: Rule, rank: int) -> Column:
     """The rule's matches, leftmost and not overlapping, as structs of start, rank, end in code points.
 
-    The text is split at the matches, and the lengths of gaps and matches are summed.
+    The text is split at the matches, and the lengths of gaps and matches are summed: within chunks of CHUNK matches,
+    and the chunks' totals then, so that a text of many matches costs little more for each of them.
     """
     matches, gaps = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)), F.split(text, rule.pattern, -1)
-    none = F.array().cast("array<struct<start:int,rank:int,end:int>>")
     enough = lambda m: F.length(F.regexp_extract(m, rule.pattern, rule.group) if rule.group else m) >= rule.least
+    item = lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("match"), enough(m).alias("counts"))
+    items = F.zip_with(F.slice(gaps, F.lit(1), F.size(matches)), matches, item)
+    none = F.array().cast("array<struct<start:int,rank:int,end:int>>")
 
-    def grow(acc: Column, pair: Column) -> Column:
-        start = acc["at"] + F.length(pair["gap"])
-        end = start + F.length(pair["match"])
+    def grow(acc: Column, i: Column) -> Column:
+        start = acc["at"] + i["gap"]
+        end = start + i["match"]
         span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"))
-        return F.struct(end.alias("at"), F.when(enough(pair["match"]), F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"))
-
-    pairs = F.zip_with(F.slice(gaps, F.lit(1), F.size(matches)), matches, lambda g, m: F.struct(g.alias("gap"), m.alias("match")))
-    return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("spans")), grow, lambda acc: acc["spans"])
+        return F.struct(end.alias("at"), F.when(i["counts"], F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"))
+
+    def chunked(all_: Column) -> Column:
+        """The chunks as structs of their length `at` and their spans from their own start."""
+        start = F.struct(F.lit(0).alias("at"), none.alias("spans"))
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / CHUNK).cast("int")), lambda n: F.aggregate(F.slice(all_, n * CHUNK + 1, F.lit(CHUNK)), start, grow))
+
+    starts = lambda chunks: F.aggregate(chunks, F.array(F.lit(0)), lambda acc, c: F.concat(acc, F.array(F.element_at(acc, -1) + c["at"])))
+    moved = lambda c, by: F.transform(c["spans"], lambda s: F.struct((s["start"] + by).alias("start"), s["rank"].alias("rank"), (s["end"] + by).alias("end")))
+    # Each step is bound to a name of its own by a list of one, so that it is worked out once.
+    bound = lambda value, f: F.element_at(F.transform(F.array(value), f), 1)
+    whole = bound(items, lambda all_: bound(chunked(all_), lambda chunks: bound(starts(chunks), lambda at: F.flatten(F.zip_with(chunks, F.slice(at, F.lit(1), F.size(chunks)), moved)))))
+    return F.when(F.regexp_like(text, F.lit(rule.pattern)), whole).otherwise(none)
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
