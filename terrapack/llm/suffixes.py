@@ -127,7 +127,9 @@ def repeated_starts(pieces: list[list[int]], length: int = LENGTH) -> list[np.nd
 
 
 class Prints:
-    """The least prints of a text's strings: for each stretch of starts that share one, where it begins, the print's hash and the print's place."""
+    """The least prints of a text's strings: for each stretch of starts that share one, its first and last start, the
+    print's hash and its place. In a run of bytes that repeat at a short distance the stretches repeat each other; of
+    such a chain only the first counts, and `sure` has the starts of the whole chain, all of which repeat."""
 
     def __init__(self, length: int = LENGTH, size: int = PRINT):
         self.length, self.size = length, size
@@ -143,8 +145,10 @@ class Prints:
             h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
             return h ^ (h >> np.uint64(32))
 
-    def __call__(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        starts, keys, prints, last = [], [], [], -1
+    def __call__(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int]]]:
+        out: tuple[list, list, list, list] = ([], [], [], [])
+        sure: list[tuple[int, int]] = []
+        last = -1
         width = self.length - self.size + 1
         for lo in range(0, max(len(text) - self.length + 1, 0), STRETCH):
             raw = np.frombuffer(text[lo : lo + STRETCH + self.length - 1], np.uint8)
@@ -157,14 +161,33 @@ class Prints:
             back = np.minimum.accumulate(block[:, ::-1], axis=1)[:, ::-1].ravel()
             n = len(raw) - self.length + 1
             at = (np.minimum(back[:n], ahead[width - 1 : width - 1 + n]) & np.uint64(0x1FFFFF)).astype(np.int64)
-            new = np.flatnonzero(np.concatenate([[lo + int(at[0]) != last], at[1:] != at[:-1]]))
-            starts.append(lo + new)
-            keys.append(h[at[new]])
-            prints.append(lo + at[new])
+            new = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+            high, place = np.append(new[1:], n) - 1, at[new]
+            first = self._chains(raw, new, high, place)
+            if len(first) < len(new):
+                stop = high[np.append(first[1:], len(new)) - 1]
+                sure += [(lo + a, lo + b) for a, b, k in zip(new[first].tolist(), stop.tolist(), np.diff(np.append(first, len(new))).tolist(), strict=True) if k > 1]
+            new, high, place = new[first], high[first], place[first]
+            if out[0] and lo + int(place[0]) == last == out[3][-1][-1]:  # the stretch of starts goes on from the text before
+                out[1][-1][-1] = lo + high[0]
+                new, high, place = new[1:], high[1:], place[1:]
+            if len(new):
+                for x, y in zip(out, (lo + new, lo + high, h[place], lo + place), strict=True):
+                    x.append(y)
             last = lo + int(at[-1])
-        if not starts:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        return np.concatenate(starts), np.concatenate(keys), np.concatenate(prints)
+        none = np.zeros(0, np.int64)
+        lows, highs, keys, places = (np.concatenate([*x, none.astype(x[0].dtype if x else np.int64)]) for x in out)
+        return lows, highs, keys, places, sure
+
+    def _chains(self, raw: np.ndarray, low: np.ndarray, high: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Of stretches one after another those that do not repeat the one before, byte for byte."""
+        step = np.diff(low)
+        alike = (step == np.diff(place)) & (np.diff(high - low) == 0) & (step < self.length)
+        for d in np.unique(step[alike]).tolist():
+            k = np.flatnonzero(alike & (step == d))
+            other = np.concatenate([[0], np.cumsum(raw[d:] != raw[:-d])])  # bytes that differ from the one d on
+            alike[k] = other[high[k] + self.length] == other[low[k]]
+        return np.flatnonzero(np.concatenate([[True], ~alike]))
 
 
 def _utf8(text: str | None) -> bytes:
@@ -172,33 +195,32 @@ def _utf8(text: str | None) -> bytes:
 
 
 def pieces(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(tid, keys, pieces, lows, prints): for each stretch of starts that share a print, the print's hash, the hash of the
-    stretch's bytes, its first start, and how far from it the print is. `lows` ends with the number of starts."""
+    """(tid, keys, pieces, lows, highs, prints, sure): for each stretch of starts that share a print, the print's hash, the
+    hash of the stretch's bytes, its first and last start, and how far from the first the print is; and the runs of
+    starts that repeat within the text at a short distance."""
 
     def work():
         prints = Prints(length)
 
         def made(texts: list) -> list:
-            out = ([], [], [], [])
+            out = ([], [], [], [], [], [])
             for t in texts:
                 raw = _utf8(t)
-                lo, keys, place = prints(raw)
-                ends = np.append(lo[1:], len(raw) - length + 1)[: len(lo)] + length - 1
-                out[0].append(keys.view(np.int64).tolist())
-                out[1].append([int.from_bytes(hashlib.blake2b(raw[a:b], digest_size=8).digest(), "little", signed=True) for a, b in zip(lo.tolist(), ends.tolist(), strict=True)])
-                out[2].append([*lo.tolist(), len(raw) - length + 1] if len(lo) else [])
-                out[3].append((place - lo).tolist())
+                low, high, keys, place, sure = prints(raw)
+                hashes = [int.from_bytes(hashlib.blake2b(raw[a:b], digest_size=8).digest(), "little", signed=True) for a, b in zip(low.tolist(), (high + length).tolist(), strict=True)]
+                for x, y in zip(out, (keys.view(np.int64).tolist(), hashes, low.tolist(), high.tolist(), (place - low).tolist(), [{"first": a, "last": b} for a, b in sure]), strict=True):
+                    x.append(y)
             return list(out)
 
         return made
 
-    rows = add_in_arrow(docs.select("text"), ["text"], {"keys": "array<bigint>", "pieces": "array<bigint>", "lows": "array<bigint>", "prints": "array<int>"}, work)
-    return rows.select(content_id(text_or_empty()).alias("tid"), "keys", "pieces", "lows", "prints")
+    rows = add_in_arrow(docs.select("text"), ["text"], {"keys": "array<bigint>", "pieces": "array<bigint>", "lows": "array<bigint>", "highs": "array<bigint>", "prints": "array<int>", "sure": "array<struct<first:bigint,last:bigint>>"}, work)
+    return rows.select(content_id(text_or_empty()).alias("tid"), "keys", "pieces", "lows", "highs", "prints", "sure")
 
 
 def each_piece(rows: DataFrame) -> DataFrame:
-    parts = F.arrays_zip(F.col("keys").alias("key"), F.col("pieces").alias("piece"), F.slice("lows", F.lit(1), F.size("keys")).alias("lo"), F.slice("lows", F.lit(2), F.size("keys")).alias("next"), F.col("prints").alias("print"))
-    return rows.filter(F.size("keys") > 0).select("tid", F.explode(parts).alias("x")).select("tid", "x.key", "x.piece", "x.lo", (F.col("x.next") - 1).alias("hi"), "x.print")
+    parts = F.arrays_zip(F.col("keys").alias("key"), F.col("pieces").alias("piece"), F.col("lows").alias("lo"), F.col("highs").alias("hi"), F.col("prints").alias("print"))
+    return rows.filter(F.size("keys") > 0).select("tid", F.explode(parts).alias("x")).select("tid", "x.key", "x.piece", "x.lo", "x.hi", "x.print")
 
 
 def sorted_repeats(found: DataFrame, block: int, spread: int) -> DataFrame:
@@ -319,7 +341,7 @@ def dedup_spans(docs: DataFrame, length: int = LENGTH, most: int = SORTED_PIECES
     cuts = stored(cuts.groupBy("key", "piece").agg(F.first("times").alias("times"), F.first("print").alias("print"), F.first("raw").alias("raw")), "cut-pieces")
 
     met_once = met.filter((F.col("times") == 1) & F.col("open")).select("key", "piece", "tid", "lo")
-    runs = [met.filter(F.col("times") > 1).select("tid", F.struct(F.col("lo").alias("first"), F.col("hi").alias("last")).alias("run"))]
+    runs = [rows.select("tid", F.explode("sure").alias("run")), met.filter(F.col("times") > 1).select("tid", F.struct(F.col("lo").alias("first"), F.col("hi").alias("last")).alias("run"))]
     for told in repeated_offsets(cuts, length, most, spread):
         runs.append(told.join(met_once, ["key", "piece"]).select("tid", F.struct((F.col("lo") + F.col("first")).alias("first"), (F.col("lo") + F.col("last")).alias("last")).alias("run")))
     return stored(reduce(DataFrame.union, runs).groupBy("tid").agg(F.collect_set("run").alias("spans")), "repeat-spans")
