@@ -7,6 +7,7 @@ pages with its region agree on is template.
 
 from __future__ import annotations
 
+import bisect
 import html as entities
 import json
 import re
@@ -26,6 +27,10 @@ FAN_IN = 256
 CONSTANT_PAGES = 3
 #: A text on fewer than one in so many of its region's pages is a slot's; template is what more than half have.
 RARE = 8
+#: Regions, blocks and marked elements around a text that tell where it lies: the outermost so many. Text is lost at no depth.
+DEPTH = 64
+#: Pairs of nodes of two regions that are all compared; in larger regions nodes that both have once lead.
+CELLS_COMPARED = 1 << 18
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(/?)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 MAY_MARK = re.compile(r"(?i)class|id|role")
@@ -106,6 +111,81 @@ class Block(NamedTuple):
     inside: tuple[Element, ...]  # the articles and marked elements it lies in
 
 
+class Open:
+    """The elements that are open, and where the last ones of each kind are: nothing is searched for from the top."""
+
+    def __init__(self):
+        self.stack: list[Element] = []
+        self.labels: list[str] = []  # of the regions
+        self.chain: list[tuple[int, Element]] = []  # articles and marked elements with their places
+        self.places: dict[str, list[int]] = {}
+        self.regions: list[int] = []
+        self.outer: list[int] = []  # elements that are not inline
+        self.articles = self.number = 0
+
+    def inline_on_top(self) -> bool:
+        return bool(self.stack) and self.stack[-1].tag in INLINE
+
+    def push(self, tag: str, label: str | None, main: bool, mark: str) -> None:
+        self.number += 1
+        e, at = Element(tag, label, main, mark, self.number, len(self.labels) + (label is not None)), len(self.stack)
+        self.stack.append(e)
+        self.places.setdefault(tag, []).append(at)
+        if label is not None:
+            self.labels.append(label)
+        if tag in REGIONS:
+            self.regions.append(at)
+        if tag not in INLINE:
+            self.outer.append(at)
+        if main or mark:
+            self.chain.append((at, e))
+        self.articles += main
+
+    def cut(self, to: int) -> None:
+        """Closes all from that place on."""
+        while len(self.stack) > to:
+            e, at = self.stack.pop(), len(self.stack)
+            self.places[e.tag].pop()
+            if e.label is not None:
+                self.labels.pop()
+            for places in (self.regions, self.outer):
+                if places and places[-1] == at:
+                    places.pop()
+            if self.chain and self.chain[-1][0] == at:
+                self.chain.pop()
+            self.articles -= e.main
+
+    def last(self, tags) -> int:
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
+    def close(self, tags: tuple[str, ...], stops: set[str]) -> None:
+        """Closes the last of these, unless a stop is open within it."""
+        at = self.last(tags)
+        if stops is NOT_INLINE:
+            stop = self.outer[-1] if self.outer else -1
+        elif stops:
+            stop = max(self.regions[-1] if self.regions else -1, self.last(stops - REGIONS))
+        else:
+            stop = -1
+        if at >= 0 and at >= stop:
+            self.cut(at)
+
+    def around(self) -> tuple[tuple[str, ...], str, tuple[Element, ...]]:
+        """Where a block lies: its regions, its blocks within the innermost region, and its articles and marked elements."""
+        top = len(self.stack)
+        while top and self.stack[top - 1].tag in INLINE:
+            top -= 1
+        tags: list[str] = []
+        at = top - 1
+        while at >= 0 and self.stack[at].label is None and len(tags) < DEPTH:
+            tags.append(self.stack[at].tag + "#" * (self.stack[at].mark == "by id"))
+            at -= 1
+        n = len(self.chain)
+        while n and self.chain[n - 1][0] >= top:
+            n -= 1
+        return tuple(self.labels[:DEPTH]), ".".join(reversed(tags)), tuple(e for _, e in self.chain[: min(n, DEPTH)])
+
+
 def blocks(page: str) -> list[Block]:
     """Blocks in page order. Scripts, styles, comments and the head give none. White space in a block is one space.
 
@@ -113,37 +193,29 @@ def blocks(page: str) -> list[Block]:
     without its start is passed over. Blocks whose end tags may be left out end as HTML has it.
     """
     out: list[Block] = []
-    stack: list[Element] = []
+    now = Open()
     parts: list[str] = []
+    absent: set[str] = set()  # tags that are not closed any more, and a body that does not come
 
     def end_block():
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             parts.clear()
             if text:
-                last = len(stack)
-                while last and stack[last - 1].tag in INLINE:
-                    last -= 1
-                tags: list[str] = []
-                for e in reversed(stack[:last]):
-                    if e.label is not None:
-                        break
-                    tags.append(e.tag + "#" * (e.mark == "by id"))
-                out.append(Block(tuple(e.label for e in stack[:last] if e.label is not None), ".".join(reversed(tags)), text, tuple(e for e in stack[:last] if e.main or e.mark)))
+                path, tag, inside = now.around()
+                out.append(Block(path, tag, text, inside))
 
     def say(text: str) -> None:
-        if not stack or stack[-1].tag not in INLINE:  # only marked inline elements, and those within them, are on the stack
+        if not now.inline_on_top():  # only marked inline elements, and those within them, are on the stack
             parts.append(text)
 
-    def close(tags: tuple[str, ...], stops: set[str]) -> None:
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k].tag in tags:
-                del stack[k:]
-                return
-            if stack[k].tag in stops or (stops is NOT_INLINE and stack[k].tag not in INLINE):
-                return
+    def ahead(name: str, pattern: str, at: int) -> re.Match | None:
+        found = None if name in absent else re.compile(pattern, re.I).search(page, at)
+        if found is None:
+            absent.add(name)
+        return found
 
-    at, size, number = 0, len(page), 0
+    at, size = 0, len(page)
     while at < size:
         m = TOKEN.search(page, at)
         if m is None:
@@ -158,44 +230,41 @@ def blocks(page: str) -> list[Block]:
             continue
         tag, closing = m[3].lower(), bool(m[2])
         if tag in INLINE:
-            within = bool(stack) and stack[-1].tag in INLINE
+            within = now.inline_on_top()
             if closing and within:
-                close((tag,), NOT_INLINE)
+                now.close((tag,), NOT_INLINE)
             elif not closing and tag not in VOID:
                 mark = ""
-                if tag in NOT_MAIN or (m[4] and MAY_MARK.search(m[4]) and all(e.tag != "pre" for e in stack)):  # highlighted code has comments
-                    mark = mark_of(tag, named(m[4] or ""), any(e.main for e in stack))
+                if tag in NOT_MAIN or (m[4] and MAY_MARK.search(m[4]) and not now.places.get("pre")):  # highlighted code has comments
+                    mark = mark_of(tag, named(m[4] or ""), now.articles > 0)
                 if mark or within:
-                    number += 1
-                    stack.append(Element(tag, None, False, mark, number, sum(e.label is not None for e in stack)))
+                    now.push(tag, None, False, mark)
             continue
         if tag == "br":
             parts.append(" ")
             continue
         end_block()
         if tag in RAW and not closing and not m[5]:
-            closes = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-            inner = re.compile(r"<body\b", re.I).search(page, at) if tag == "head" else None
+            closes = ahead(tag, rf"</{tag}\s*>", at)
+            inner = ahead("body", r"<body\b", at) if tag == "head" else None
             at = inner.start() if inner and (not closes or inner.start() < closes.start()) else closes.end() if closes else size if tag != "head" else at
         elif tag in VOID or tag in RAW:
             pass
         elif closing:
-            close((tag,), set() if tag in REGIONS else REGIONS)
+            now.close((tag,), set() if tag in REGIONS else REGIONS)
         else:
-            close(("p",), REGIONS | CELLS)
+            now.close(("p",), REGIONS | CELLS)
             if tag in ENDS:
-                close(*ENDS[tag])
+                now.close(*ENDS[tag])
             label = None
-            article = any(e.main for e in stack)
             main = False
             names = named(m[4]) if m[4] and tag not in ("html", "body") and MAY_MARK.search(m[4]) else {}
-            mark = mark_of(tag, names, article) if tag != "main" else ""
+            mark = mark_of(tag, names, now.articles > 0) if tag != "main" else ""
             if tag in REGIONS:
                 own = [w for value in names.values() for w in parts_of(value)]
                 label = ".".join([tag, *own[:3]])
                 main = tag in ("article", "main") or "articlebody" in "".join(own)
-            number += 1
-            stack.append(Element(tag, label, main, mark, number, sum(e.label is not None for e in stack) + (label is not None)))
+            now.push(tag, label, main, mark)
     end_block()
     return out
 
@@ -256,10 +325,8 @@ def _joined(x: list, y: list, times: str, pages: int) -> list:
     return ["#", times, x[2] if x[2] == y[2] else None, pages, x[4], tally]
 
 
-def align(a: list, b: list) -> list:
-    """The least wrapper of this form that covers both: nodes that agree are merged in order, the others become optional."""
-    x, y, pages = a[2], b[2], a[3] + b[3]
-    fix_x, fix_y = ([n[0] == "#" and _constant(n, w[3]) for n in w[2]] for w in (a, b))
+def _compared(x: list, y: list, fix_x: list[bool], fix_y: list[bool]) -> list[tuple[int, int]]:
+    """The best common order of two lists of nodes: pairs that agree, over all pairs."""
     meets = [[_meet(n, m, f or g) for m, g in zip(y, fix_y, strict=True)] for n, f in zip(x, fix_x, strict=True)]
     best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
     for i in range(len(x) - 1, -1, -1):
@@ -268,18 +335,77 @@ def align(a: list, b: list) -> list:
             skip = under[j] if under[j] > row[j + 1] else row[j + 1]
             row[j] = max(skip, under[j + 1] + meet[j]) if meet[j] else skip
     out, i, j = [], 0, 0
-    lone = lambda n: [n[0], _times(n[1], "?"), *n[2:]]
-    while i < len(x) or j < len(y):
-        if i < len(x) and j < len(y) and meets[i][j] and best[i][j] == best[i + 1][j + 1] + meets[i][j]:
-            times = _times(x[i][1], y[j][1])
-            out.append(_joined(x[i], y[j], times, x[i][3] + y[j][3]) if x[i][0] == "#" else [x[i][0], times, *align(x[i], y[j])[2:]])
+    while i < len(x) and j < len(y):
+        if meets[i][j] and best[i][j] == best[i + 1][j + 1] + meets[i][j]:
+            out.append((i, j))
             i, j = i + 1, j + 1
-        elif j == len(y) or (i < len(x) and best[i + 1][j] >= best[i][j + 1]):
-            out.append(lone(x[i]))
+        elif best[i + 1][j] >= best[i][j + 1]:
             i += 1
         else:
-            out.append(lone(y[j]))
             j += 1
+    return out
+
+
+def _paired(x: list, y: list, fix_x: list[bool], fix_y: list[bool]) -> list[tuple[int, int]]:
+    """Pairs of nodes that agree, in order. Long lists are parted at nodes that each has once, as far as those come in one
+    order; where there are none, nodes of one kind are paired as they come."""
+    if len(x) * len(y) <= CELLS_COMPARED:
+        return _compared(x, y, fix_x, fix_y)
+    once = []
+    for nodes in (x, y):
+        places: dict[tuple, list[int]] = {}
+        for k, n in enumerate(nodes):
+            places.setdefault((n[0], n[4], n[2]) if n[0] == "#" else (n[0],), []).append(k)
+        once.append({key: p[0] for key, p in places.items() if len(p) == 1})
+    anchors = _rising([(i, once[1][key]) for key, i in sorted(once[0].items(), key=lambda e: e[1]) if key in once[1] and _meet(x[i], y[once[1][key]], fix_x[i] or fix_y[once[1][key]])])
+    if not anchors:
+        kinds: dict[tuple, list[int]] = {}
+        for j, n in enumerate(y):
+            kinds.setdefault((n[0], n[4] if n[0] == "#" else ""), []).append(j)
+        out, at = [], 0
+        for i, n in enumerate(x):
+            same = kinds.get((n[0], n[4] if n[0] == "#" else ""), [])
+            k = bisect.bisect_left(same, at)
+            if k < len(same) and _meet(n, y[same[k]], fix_x[i] or fix_y[same[k]]):
+                out.append((i, same[k]))
+                at = same[k] + 1
+        return out
+    out, low = [], (0, 0)
+    for i, j in [*anchors, (len(x), len(y))]:
+        between = _paired(x[low[0] : i], y[low[1] : j], fix_x[low[0] : i], fix_y[low[1] : j])
+        out += [(low[0] + p, low[1] + q) for p, q in between]
+        if i < len(x):
+            out.append((i, j))
+        low = (i + 1, j + 1)
+    return out
+
+
+def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The longest part of pairs (by rising first value) whose second values rise too."""
+    ends, tails, back = [], [], []
+    for k, (_, j) in enumerate(pairs):
+        at = bisect.bisect_left(ends, j)
+        back.append(tails[at - 1] if at else -1)
+        ends[at : at + 1], tails[at : at + 1] = [j], [k]
+    out, k = [], tails[-1] if tails else -1
+    while k >= 0:
+        out.append(pairs[k])
+        k = back[k]
+    return out[::-1]
+
+
+def align(a: list, b: list) -> list:
+    """The least wrapper of this form that covers both: nodes that agree are merged in order, the others become optional."""
+    x, y, pages = a[2], b[2], a[3] + b[3]
+    fix_x, fix_y = ([n[0] == "#" and _constant(n, w[3]) for n in w[2]] for w in (a, b))
+    out, low = [], (0, 0)
+    lone = lambda n: [n[0], _times(n[1], "?"), *n[2:]]
+    for i, j in [*_paired(x, y, fix_x, fix_y), (len(x), len(y))]:
+        out += [lone(n) for n in [*x[low[0] : i], *y[low[1] : j]]]
+        if i < len(x):
+            times = _times(x[i][1], y[j][1])
+            out.append(_joined(x[i], y[j], times, x[i][3] + y[j][3]) if x[i][0] == "#" else [x[i][0], times, *align(x[i], y[j])[2:]])
+        low = (i + 1, j + 1)
     folded: list = []
     for n in out:  # neighbours that alignment has brought together
         p = folded[-1] if folded and folded[-1][0] == n[0] else None
@@ -439,7 +565,7 @@ def extract(pages: DataFrame) -> DataFrame:
     """All columns of `pages` (url, html and others) with `text`, the main text, and `n_chars`, its code points.
 
     A null or empty html gives an empty text. Pages without a host (null or other urls) form one host of their own.
-    Repeated rows are pages like others. A host's wrapper tells its template texts; regions are told by their tags and
+    Repeated rows are pages like others. Elements may be nested to any depth and left open. A host's wrapper tells its template texts; regions are told by their tags and
     by the words of their classes, ids and roles. Column names that start with __tp_ are reserved.
     """
     rows = pages.withColumn("__tp_host", host_of())
