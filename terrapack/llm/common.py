@@ -25,28 +25,54 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; one of our own only where that is unset."""
+    """The folder that the cluster names in spark.checkpoint.dir; one of our own only where that is unset and all tasks
+    run in this process. A cluster without such a folder is refused: its machines would not see each other's tables."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='terrapack-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """This application's folder for its tables, in the shared one. It goes when the application ends."""
+    path = f"{shared_dir(spark)}/terrapack/{spark.sparkContext.applicationId}"
+    if path not in _OPEN:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        files.mkdirs(where)
+        files.deleteOnExit(where)
+        _OPEN.add(path)
+    return path
+
+
+_OPEN: set[str] = set()
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes the rows as a table in the shared folder and reads it back.
 
     It cuts the lineage: a lost executor costs its running tasks only, as the table stays where all executors read it.
-    The shuffle files of the write go when it ends, since nothing reads them again.
+    The shuffle files of the write go when it ends, since nothing reads them again; the table goes with the application.
     """
-    path, conf = f"{shared_dir(df.sparkSession)}/terrapack/{name}-{uuid.uuid4().hex}", df.sparkSession.conf
+    path, conf = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}", df.sparkSession.conf
     before = conf.get(CLEAN_UP, None)
     conf.set(CLEAN_UP, "true")
     try:
         df.write.parquet(path)
     finally:
         conf.unset(CLEAN_UP) if before is None else conf.set(CLEAN_UP, before)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._tp_path = path
+    return out
+
+
+def forget(table_: DataFrame) -> None:
+    """Deletes a stored table that nothing reads any more."""
+    where = table_.sparkSession._jvm.org.apache.hadoop.fs.Path(table_._tp_path)
+    where.getFileSystem(table_.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
 def small_table(spark: SparkSession, columns: dict[str, tuple[list, pa.DataType]]) -> DataFrame:
