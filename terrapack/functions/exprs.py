@@ -130,6 +130,33 @@ def nodes_overlap(z, x, y, rz, rx, ry) -> Column:
     return (up(x, z - rz) == up(rx, rz - z)) & (up(y, z - rz) == up(ry, rz - z))
 
 
+def is_closed(refs) -> Column:
+    """Whether a way's refs make a ring by themselves."""
+    refs = _c(refs)
+    return (F.size(refs) >= 4) & (F.element_at(refs, 1) == F.element_at(refs, -1))
+
+
+def members_by_role(members, outer: bool) -> Column:
+    """The ways (type 1) among a relation's members that are outer rings, with or without saying so, or inner ones."""
+    roles = ("outer", "") if outer else ("inner",)
+    return F.filter(_c(members), lambda m: (m["type"] == 1) & m["role"].isin(*roles))
+
+
+def utc_text(seconds) -> Column:
+    """Seconds since 1970 as a UTC time to the second, whatever the session's time zone."""
+    s = _c(seconds).cast("long")
+    day = F.date_format(F.date_add(F.lit("1970-01-01").cast("date"), F.floor(s / 86400).cast("int")), "yyyy-MM-dd")
+    clock = F.pmod(s, F.lit(86400))
+    two = lambda v: F.lpad(v.cast("long").cast("string"), 2, "0")
+    return F.concat(day, F.lit("T"), two(F.floor(clock / 3600)), F.lit(":"), two(F.floor(F.pmod(clock, F.lit(3600)) / 60)), F.lit(":"), two(F.pmod(clock, F.lit(60))), F.lit("Z"))
+
+
+def query_url(base, layer, **params) -> Column:
+    """Address of a query of a layer, its parameters encoded."""
+    pairs = {"where": F.lit("1=1"), "f": F.lit("json")} | {name: _c(v) for name, v in params.items()}
+    return F.concat(_c(base), F.lit("/"), _c(layer), F.lit("/query?"), F.concat_ws("&", *(F.concat(F.lit(f"{name}="), F.url_encode(v)) for name, v in pairs.items())))
+
+
 def boxes_meet(s, w, n, e, south, west, north, east) -> Column:
     """Closed boxes that share a point."""
     return (_c(s) <= _c(north)) & (_c(n) >= _c(south)) & (_c(w) <= _c(east)) & (_c(e) >= _c(west))

@@ -39,6 +39,27 @@ def way_points(ways: DataFrame, nodes: DataFrame) -> DataFrame:
     return found.groupBy("id").agg(F.transform(pts, lambda p: F.struct(p["lat_e7"].alias("lat_e7"), p["lon_e7"].alias("lon_e7"))).alias("pts"))
 
 
+def relation_ways(relations: DataFrame, ways: DataFrame) -> DataFrame:
+    """Each relation (blob_ix, elem_ix, cls, members) with `ways`: role, refs, ids and pts of its member ways in order.
+
+    Members that are not there fall out; ways without found nodes stay, as rings are put together by ids.
+    """
+    member = relations.select("blob_ix", "elem_ix", "cls", F.posexplode("members").alias("pos", "m")).filter(F.col("m.type") == 1)
+    member = member.join(ways.select(F.col("id").alias("wid"), "refs", "pts", "ids"), F.col("m.ref") == F.col("wid"))
+    item = F.struct("pos", F.col("m.role").alias("role"), "refs", "ids", "pts")
+    return member.groupBy("blob_ix", "elem_ix", "cls").agg(F.array_sort(F.collect_list(item)).alias("ways"))
+
+
+def found_points(ways: DataFrame, nodes: DataFrame) -> DataFrame:
+    """`ways` with `ids` and `pts` (lat_e7, lon_e7), the refs whose nodes are there, in order; empty where none is."""
+    refs = ways.select("id", F.posexplode("refs").alias("pos", "ref")).join(nodes.select(F.col("id").alias("ref"), "lat_e7", "lon_e7"), "ref")
+    got = refs.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("pos", "ref", "lat_e7", "lon_e7"))).alias("g"))
+    pts = F.transform("g", lambda p: F.struct(p["lat_e7"].alias("lat_e7"), p["lon_e7"].alias("lon_e7")))
+    got = got.select("id", pts.alias("pts"), F.transform("g", lambda p: p["ref"]).alias("ids"))
+    empty = {"pts": "array<struct<lat_e7:int,lon_e7:int>>", "ids": "array<bigint>"}
+    return ways.join(got, "id", "left").withColumns({c: F.coalesce(c, F.array().cast(kind)) for c, kind in empty.items()})
+
+
 def data_cells(nodes: DataFrame) -> DataFrame:
     """Distinct zoom-8 cells that hold a node."""
     return nodes.select(x.cell_x(x.degrees_e7("lon_e7")).alias("cx"), x.cell_y(x.degrees_e7("lat_e7")).alias("cy")).distinct()

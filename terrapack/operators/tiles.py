@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,69 +23,87 @@ PARTS = "array<array<int>>"
 FEATURE = f"ord {ORD}, geom int, cls int, attr int, rings {RINGS}"
 _ORD = pa.struct([("rank", pa.int32()), ("a", pa.int64()), ("b", pa.int64())])
 _PARTS = pa.list_(pa.list_(pa.int32()))
+#: Points of features that are cut together, and tiles that are coded together.
+BATCH_POINTS, BATCH_TILES = 400_000, 4096
 
 
-def cut_features(features: DataFrame, levels: tuple[tuple, ...], region_zoom: int | None = None, mean_latitude=None) -> DataFrame:
+def ragged(lists: pa.ListArray) -> tuple[np.ndarray, pa.Array]:
+    """The number of values of each list (none: 0), and all values one after another."""
+    return pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64), lists.flatten()
+
+
+def nested(count: np.ndarray, size: np.ndarray, points: np.ndarray) -> pa.ListArray:
+    """Rows of `count` parts each, a part as x, y, x, y ..."""
+    ends = lambda n: pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
+    return pa.ListArray.from_arrays(ends(count), pa.ListArray.from_arrays(ends(2 * size), pa.array(points.ravel(), pa.int32())))
+
+
+def cut_features(features: DataFrame, levels: tuple[tuple, ...], region_zoom: int | None = None, shape=geometry.plain_shape) -> DataFrame:
     """A row for each level, tile and feature: its parts in the tile's units (x, y, x, y ...), and whether it fills it.
 
     `features` are FEATURE, with rx and ry where region_zoom is given: then only the region's tiles are made, as they
     would be without it. Features without an area are left out. `features.least_zoom`, if there, leaves a feature out
-    of levels whose last zoom is below it.
+    of levels whose last zoom is below it. `shape` says how a ring or line counts (see geometry.plain_shape). Features are
+    cut together, as many as have about BATCH_POINTS points.
     """
     zoomed = "least_zoom" in features.columns
-
-    def world(geom: int, rings: list[dict], bits: int, tolerance: float) -> list[np.ndarray]:
-        if geom == k.POLYGON:
-            given = [(np.asarray(r["lon"]), np.asarray(r["lat"]), r["outer"]) for r in rings if len(r["lon"]) >= 3]
-            return geometry.prepared_rings(given, bits, tolerance) if mean_latitude is None else mean_latitude(given, bits, tolerance)
-        out = []
-        for r in rings:
-            if len(r["lon"]) >= 2:
-                line = geometry.project(np.asarray(r["lon"]), np.asarray(r["lat"]), bits)
-                unit = geometry.metre(float(np.clip(np.mean(r["lat"]), -80, 80)) if mean_latitude else float(np.mean(r["lat"])), bits)
-                line = geometry.whole_line(line[geometry.kept_points(line, tolerance * unit)])
-                out += [] if line is None else [line]
-        return out
+    names = ["level", "x", "y", "ord", "geom", "cls", "attr", "parts", "full"]
+
+    def cut(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        geom = b.column("geom").to_numpy(zero_copy_only=False)
+        count, rings = ragged(b.column("rings"))
+        size, lon = ragged(rings.field("lon"))
+        lon, lat = lon.to_numpy(zero_copy_only=False), rings.field("lat").flatten().to_numpy(zero_copy_only=False)
+        outer, ends = rings.field("outer").to_numpy(zero_copy_only=False).astype(bool), np.cumsum(size)
+        owner = np.repeat(np.arange(len(count)), count)
+        last_zoom = b.column("least_zoom").to_numpy(zero_copy_only=False) if zoomed else np.zeros(len(count))
+        regions = None if region_zoom is None else np.stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("rx", "ry")], axis=1)
+        for kind in (k.POLYGON, k.LINE):
+            shapes, of = [], []
+            for r in np.flatnonzero(geom[owner] == kind).tolist():
+                found = shape(lon[ends[r] - size[r] : ends[r]], lat[ends[r] - size[r] : ends[r]], outer[r], kind == k.POLYGON)
+                if found is not None:
+                    shapes.append(found)
+                    of.append(owner[r])
+            for level, (zoom, _, last, bits, buffer, tolerance) in enumerate(levels):
+                here = [n for n, f in enumerate(of) if last_zoom[f] <= last]
+                parts, feature = geometry.level_parts([shapes[n] for n in here], np.array([of[n] for n in here], np.int64), kind == k.POLYGON, zoom + bits, tolerance)
+                for c in geometry.cut_features(parts, feature, kind == k.POLYGON, zoom, bits, buffer, regions, region_zoom or 0):
+                    row = pa.array(c.feature)
+                    made = [pa.array(np.full(len(row), level), pa.int32()), pa.array(c.x), pa.array(c.y), b.column("ord").take(row), *(b.column(n).take(row) for n in ("geom", "cls", "attr")), nested(c.count, c.parts.size, c.parts.points), pa.array(c.full)]
+                    yield pa.RecordBatch.from_arrays([v.cast(t) for v, t in zip(made, (pa.int32(), pa.int64(), pa.int64(), _ORD, pa.int32(), pa.int32(), pa.int32(), _PARTS, pa.bool_()), strict=True)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            names = ["ord", "geom", "cls", "attr", "rings"]
-            rows = list(zip(*(b.column(c).to_pylist() for c in names), strict=True))
-            regions = list(zip(b.column("rx").to_pylist(), b.column("ry").to_pylist(), strict=True)) if region_zoom is not None else [None] * len(rows)
-            least = b.column("least_zoom").to_pylist() if zoomed else [0.0] * len(rows)
-            for (ord_, geom, cls, attr, rings), region, from_zoom in zip(rows, regions, least, strict=True):
-                out = []
-                for level, (zoom, _, last, bits, buffer, tolerance) in enumerate(levels):
-                    if from_zoom <= last:
-                        shapes = world(geom, rings, zoom + bits, tolerance)
-                        at = None if region is None else (region_zoom, *region)
-                        square = geometry.full_square(bits, buffer).ravel().tolist()
-                        for (tx, ty), parts in geometry.cut(shapes, geom == k.POLYGON, zoom, bits, buffer, at).items():
-                            flat = [p.ravel().tolist() for p in parts]
-                            out.append((level, tx, ty, flat, flat == [square]))
-                if out:
-                    n = len(out)
-                    col = lambda c, t: pa.array([r[c] for r in out], t)  # noqa: E731, B023
-                    yield pa.RecordBatch.from_arrays(
-                        [col(0, pa.int32()), col(1, pa.int64()), col(2, pa.int64()), pa.array([ord_] * n, _ORD), pa.array([geom] * n, pa.int32()), pa.array([cls] * n, pa.int32()), pa.array([attr] * n, pa.int32()), col(3, _PARTS), col(4, pa.bool_())],
-                        names=["level", "x", "y", "ord", "geom", "cls", "attr", "parts", "full"],
-                    )
+            count, rings = ragged(b.column("rings"))
+            points = np.concatenate([[0], np.cumsum(ragged(rings.field("lon"))[0])])[np.concatenate([[0], np.cumsum(count)])]
+            at = 0
+            while at < b.num_rows:
+                to = max(at + 1, int(np.searchsorted(points, points[at] + BATCH_POINTS, "right")) - 1)
+                yield from cut(b.slice(at, to - at))
+                at = to
 
     return features.mapInArrow(run, f"level int, x long, y long, ord {ORD}, geom int, cls int, attr int, parts {PARTS}, full boolean")
 
 
 def encode_tiles(grouped: DataFrame, levels: tuple[tuple, ...]) -> DataFrame:
     """(level, x, y, key, len, crc, blob) from rows of relational.group_tiles. A tile without features is empty."""
+    bits, buffers = np.array([v[3] for v in levels]), np.array([v[4] for v in levels])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            level, tx, ty = (b.column(c).to_pylist() for c in ("level", "x", "y"))
-            raws = []
-            for n, features in zip(level, b.column("features").to_pylist(), strict=True):
-                _, _, _, bits, buffer, _ = levels[n]
-                raws.append(codec.encode_tile([(f["geom"], f["cls"], f["attr"], [np.array(p).reshape(-1, 2) for p in f["parts"]]) for f in features or []], bits, buffer))
-            keys = [codec.tile_key(a, c) for a, c in zip(tx, ty, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(level, pa.int32()), pa.array(tx, pa.int64()), pa.array(ty, pa.int64()), pa.array(keys, pa.int64()), pa.array(map(len, raws), pa.int32()), pa.array(map(zlib.crc32, raws), pa.int64()), pa.array(raws, pa.binary())], names=["level", "x", "y", "key", "len", "crc", "blob"])
+        for whole in batches:
+            for b in (whole.slice(at, BATCH_TILES) for at in range(0, whole.num_rows, BATCH_TILES)):
+                level, tx, ty = (b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("level", "x", "y"))
+                features, rows = ragged(b.column("features"))
+                column = lambda c: pc.fill_null(rows.field(c), -1).to_numpy(zero_copy_only=False).astype(np.int64)  # noqa: E731, B023
+                parts, rings = ragged(rows.field("parts"))
+                size, values = ragged(rings)
+                points = values.to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, 2)
+                raw, sizes = codec.encode_tiles(codec.Tiles(features, column("geom"), column("cls"), column("attr"), parts, size // 2, points), -buffers[level], (1 << bits[level]) + buffers[level])
+                ends = np.concatenate([[0], np.cumsum(sizes)])
+                blobs = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(raw)])
+                crcs = [zlib.crc32(raw[a:z]) for a, z in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(level, pa.int32()), pa.array(tx), pa.array(ty), pa.array(codec.tile_keys(tx, ty)), pa.array(sizes, pa.int32()), pa.array(crcs, pa.int64()), blobs], names=["level", "x", "y", "key", "len", "crc", "blob"])
 
     return grouped.mapInArrow(run, "level int, x long, y long, key long, len int, crc long, blob binary")
 
@@ -92,30 +111,41 @@ def encode_tiles(grouped: DataFrame, levels: tuple[tuple, ...]) -> DataFrame:
 def decode_tiles(tiles: DataFrame, levels: tuple[tuple, ...], attrs: int = 0) -> DataFrame:
     """(level, key, features, error) of encoded tiles; what breaks a rule gives an error text, never a failed task."""
     feature = "array<struct<geom:int,cls:int,attr:int,parts:array<array<int>>>>"
-    kind = pa.list_(pa.struct([("geom", pa.int32()), ("cls", pa.int32()), ("attr", pa.int32()), ("parts", _PARTS)]))
+    bits, buffers = np.array([v[3] for v in levels]), np.array([v[4] for v in levels])
+
+    def fault(raw: bytes, level: int, crc: int) -> str | None:
+        try:
+            codec.demand(len(raw) <= k.MOST_TILE, "tile too large")
+            codec.demand(zlib.crc32(raw) == crc, "tile checksum differs")
+            codec.decode_tile(raw, int(bits[level]), int(buffers[level]), attrs)
+        except codec.FormatError as e:
+            return str(e)
+        return None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            level, keys, crcs = (b.column(c).to_pylist() for c in ("level", "key", "crc"))
-            features, errors = [], []
-            for n, crc, raw in zip(level, crcs, b.column("blob").to_pylist(), strict=True):
-                try:
-                    codec.demand(len(raw) <= k.MOST_TILE, "tile too large")
-                    codec.demand(zlib.crc32(raw) == crc, "tile checksum differs")
-                    got = codec.decode_tile(raw, levels[n][3], levels[n][4], attrs)
-                    features.append([{"geom": g, "cls": c, "attr": a, "parts": [[v for p in part for v in p] for part in parts]} for g, c, a, parts in got])
-                    errors.append(None)
-                except codec.FormatError as e:
-                    features.append(None)
-                    errors.append(str(e))
-            yield pa.RecordBatch.from_arrays([pa.array(level, pa.int32()), pa.array(keys, pa.int64()), pa.array(features, kind), pa.array(errors, pa.string())], names=["level", "key", "features", "error"])
+        for whole in batches:
+            for b in (whole.slice(at, BATCH_TILES) for at in range(0, whole.num_rows, BATCH_TILES)):
+                level, crcs, raws = (b.column(c).to_pylist() for c in ("level", "crc", "blob"))
+                sound = [len(raw) <= k.MOST_TILE and zlib.crc32(raw) == crc for raw, crc in zip(raws, crcs, strict=True)]
+                at = np.array(level, np.int64)
+                t, read = codec.decode_tiles([raw if ok else b"\x80" for raw, ok in zip(raws, sound, strict=True)], -buffers[at], (1 << bits[at]) + buffers[at], attrs)
+                errors = [None if ok else fault(raw, n, crc) or "unreadable" for raw, n, crc, ok in zip(raws, level, crcs, read.tolist(), strict=True)]
+                rows = pa.StructArray.from_arrays([pa.array(t.geom, pa.int32()), pa.array(t.cls, pa.int32()), pa.array(t.attr, pa.int32(), mask=t.attr < 0), nested(t.parts, t.size, t.points)], names=["geom", "cls", "attr", "parts"])
+                ends = np.concatenate([[0], np.cumsum(t.features)])
+                features = pa.ListArray.from_arrays(pa.array(ends, pa.int32(), mask=np.append(~read, False)), rows)
+                yield pa.RecordBatch.from_arrays([pa.array(level, pa.int32()), b.column("key"), features, pa.array(errors, pa.string())], names=["level", "key", "features", "error"])
 
     return tiles.select("level", "key", "crc", "blob").mapInArrow(run, f"level int, key long, features {feature}, error string")
 
 
-def tiles_of(features: DataFrame, levels: tuple[tuple, ...], region_zoom: int | None = None, mean_latitude=None) -> DataFrame:
+def spread_out(rows: DataFrame, by: str) -> DataFrame:
+    """The rows dealt to all tasks: a kernel costs far more than the shuffle of what it reads, and a file may be one task."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), by)
+
+
+def tiles_of(features: DataFrame, levels: tuple[tuple, ...], region_zoom: int | None = None, shape=geometry.plain_shape) -> DataFrame:
     """Encoded tiles of features, each tile's features in draw order."""
-    cut = cut_features(features, levels, region_zoom, mean_latitude)
+    cut = cut_features(spread_out(features, "ord"), levels, region_zoom, shape)
     return encode_tiles(relational.group_tiles(cut), levels)
 
 
@@ -134,6 +164,12 @@ def digest(raw: bytes) -> str:
     return hashlib.sha256(raw).hexdigest()
 
 
+def file_digest(path: str) -> str:
+    """Of a file of any size, block by block."""
+    with open(path, "rb") as f:
+        return hashlib.file_digest(f, "sha256").hexdigest()
+
+
 def tile_range(south: float, west: float, north: float, east: float, zoom: int) -> tuple[int, int, int, int]:
     """Least and largest x and y of the zoom's tiles that touch a box."""
     a, b = geometry.project(np.array([west, east]), np.clip([north, south], -85.0511, 85.0511), zoom)

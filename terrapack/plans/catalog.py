@@ -474,4 +474,4 @@ def q_estimate(spark, d):
     return p.withColumn("n", size("a") + size("b")).groupBy("category").agg(F.count("*").alias("vertices"), F.sum("n").alias("bytes"))
 
 
-from . import geometry_queries  # noqa: E402, F401  (adds the queries that SQL cannot express)
+from . import format_queries, geometry_queries  # noqa: E402, F401  (add their queries)

@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,11 +45,10 @@ def _record(rules: DataFrame) -> DataFrame:
     return rules.mapInArrow(run, schema)
 
 
-def zone_features(boating: DataFrame, manatee: DataFrame) -> DataFrame:
-    """Zones (ord, cls, record, rings) of GeoJSON features (ix, feature): boating rules first, then the manatee seasons.
-
-    Rules that restrict neither speed nor entry are left out. What is nought or all year is not in the record.
-    """
+def zone_rules(boating: DataFrame, manatee: DataFrame) -> DataFrame:
+    """Rules (ord, cls, name, speed, months, days, flags, source, polygons) of GeoJSON features (ix, feature): boating rules
+    first, then the manatee seasons. Rules that restrict neither speed nor entry are left out; what is nought or all year
+    is null."""
     some = lambda c: F.when(c != 0, c)
     b = boating.select("ix", "feature", x.boating_rule(geojson.prop("RESTRICTION")).alias("r")).filter(F.col("r").isNotNull())
     area = F.trim(F.coalesce(geojson.prop("AREA_NAME"), F.lit("")))
@@ -67,8 +67,13 @@ def zone_features(boating: DataFrame, manatee: DataFrame) -> DataFrame:
         some(F.col("r.speed")).alias("speed"), F.when(F.col("s.months") != k.ALL_YEAR, F.col("s.months")).alias("months"), F.col("r.days").alias("days"), some(flags).alias("flags"),
         F.concat(F.lit("FAC "), F.coalesce(F.nullif(geojson.prop("SECT_68C"), F.lit("")), F.lit("68C-22"))).alias("source"), geojson.polygons().alias("polygons"),
     )
-    out = _record(b.unionByName(m)).select("ord", "cls", "record", F.posexplode("polygons").alias("nth", "rings"))
-    return out.select(_ord(F.col("ord.rank"), F.col("ord.a"), F.col("ord.b") * 100_000 + F.col("nth")).alias("ord"), "cls", "record", "rings")
+    return b.unionByName(m)
+
+
+def zone_features(boating: DataFrame, manatee: DataFrame) -> DataFrame:
+    """Zones (ord, cls, record, rings): a row for each rule and polygon. What is null is not in the record."""
+    out = _record(zone_rules(boating, manatee)).select("ord", "cls", "record", F.posexplode("polygons").alias("nth", "rings"))
+    return out.select(_ord(F.col("ord.rank"), F.col("ord.a"), F.shiftleft(F.col("ord.b"), 32) + F.col("nth")).alias("ord"), "cls", "record", "rings")
 
 
 def zone_cells(zones: DataFrame) -> DataFrame:
@@ -127,24 +132,18 @@ def overview_features(spark: SparkSession, folder: str, sources=OVERVIEW_SOURCES
     return out
 
 
-def overview_rings(rings: list[tuple[np.ndarray, np.ndarray, bool]], bits: int, tolerance: float) -> list[np.ndarray]:
-    """As geometry.prepared_rings, but the mean latitude counts a repeated last point and is held within 80 degrees, and
-    rings tell by their winding whether they are outer."""
-    out = []
-    for lon, lat, _ in rings:
-        if len(lon) >= 4:
-            closed = lon[0] == lon[-1] and lat[0] == lat[-1]
-            a, b = (lon[:-1], lat[:-1]) if closed else (lon, lat)
-            ring = geometry.simplified_ring(geometry.project(a, b, bits), tolerance * geometry.metre(float(np.clip(np.mean(lat), -80, 80)), bits))
-            ring = geometry.whole_ring(ring)
-            if ring is not None:
-                out.append(geometry.wound(ring, geometry.runs_outward(lon, lat)))
-    return out if any(geometry.twice_area(p) > 0 for p in out) else []
+def overview_shape(lon: np.ndarray, lat: np.ndarray, outer: bool, closed: bool):
+    """As geometry.plain_shape, but the mean latitude counts a repeated last point and is held within 80 degrees, rings
+    need four points with it and tell by their winding whether they are outer ones."""
+    if len(lon) < (4 if closed else 2):
+        return None
+    mean, last = float(np.clip(np.mean(lat), -80, 80)), -1 if closed and lon[0] == lon[-1] and lat[0] == lat[-1] else len(lon)
+    return lon[:last], lat[:last], geometry.runs_outward(lon, lat) if closed else outer, mean
 
 
 def build_overview(spark: SparkSession, folder: str, build_time: int, data_time: int, sources=OVERVIEW_SOURCES) -> bytes:
     """The base layer file; tiles outside the overview's box are left out, and it has no grid."""
-    tiles = t.tiles_of(overview_features(spark, folder, sources), k.OVERVIEW_LEVELS, None, overview_rings)
+    tiles = t.tiles_of(overview_features(spark, folder, sources), k.OVERVIEW_LEVELS, None, overview_shape)
     inside = None
     for level, (zoom, *_) in enumerate(k.OVERVIEW_LEVELS):
         south, west, north, east = k.OVERVIEW_BOX
@@ -208,27 +207,25 @@ def relation_areas(members: DataFrame) -> DataFrame:
     return members.mapInArrow(run, f"blob_ix int, elem_ix int, cls int, rings {t.RINGS}, unclosed int, orphans int, small boolean")
 
 
+#: The tags of which one makes a way or relation water (see exprs.way_kind).
+WATER_TAGS = "natural=water,waterway=riverbank,landuse=reservoir"
+LINE_TAGS = "waterway=river,waterway=canal"
+
+
 def collect_water(spark: SparkSession, extract: str, sea: str | None = None) -> dict[str, DataFrame]:
     """`features` (t.FEATURE and a box in 1e-7 degrees), `cells` and `stats` of an extract and of sea polygons.
 
     Order is sea in file order, ways, relations, then lines. A later element of an id replaces an earlier one.
     """
     pbf.register(spark)
-    load = lambda e: spark.read.format("osm_pbf").option("element", e).load(extract)
-    relations = load("relation").filter(x.is_water_relation("tags"))
+    load = lambda e, any_tag="": spark.read.format("osm_pbf").option("element", e).option("any_tag", any_tag).load(extract)
+    relations = load("relation", WATER_TAGS).filter(x.is_water_relation("tags"))
     ways = r.latest(r.wanted_ways(load("way"), x.way_kind("tags"), r.member_ids(relations)), "id", ["blob_ix", "elem_ix"])
-    nodes = r.latest(load("node"), "id", ["blob_ix", "elem_ix"]).join(r.needed_nodes(ways), "id")
-    refs = ways.select("id", F.posexplode("refs").alias("pos", "ref")).join(nodes.select(F.col("id").alias("ref"), "lat_e7", "lon_e7"), "ref")
-    got = refs.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("pos", "ref", "lat_e7", "lon_e7"))).alias("g"))
-    pts = F.transform("g", lambda p: F.struct(p["lat_e7"].alias("lat_e7"), p["lon_e7"].alias("lon_e7")))
-    ways = ways.join(got.select("id", pts.alias("pts"), F.transform("g", lambda p: p["ref"]).alias("ids")), "id")
-
-    closed = (F.size("refs") >= 4) & (F.element_at("refs", 1) == F.element_at("refs", -1))
-    areas = way_areas(ways.filter(F.col("kind.area").isNotNull() & closed).select("blob_ix", "elem_ix", F.col("kind.area").alias("cls"), "refs", "ids", "pts"))
-    member = relations.select("blob_ix", "elem_ix", x.area_class("tags").alias("cls"), F.posexplode("members").alias("pos", "m")).filter(F.col("m.type") == 1)
-    member = member.join(ways.select(F.col("id").alias("wid"), "refs", "pts", "ids"), F.col("m.ref") == F.col("wid"))
-    member = member.groupBy("blob_ix", "elem_ix", "cls").agg(F.array_sort(F.collect_list(F.struct("pos", F.col("m.role").alias("role"), "refs", "ids", "pts"))).alias("ways"))
-    made = relation_areas(member)
+    nodes = r.latest(load("node").join(r.needed_nodes(ways), "id"), "id", ["blob_ix", "elem_ix"])
+    ways = r.found_points(ways, nodes)
+
+    areas = way_areas(ways.filter(F.col("kind.area").isNotNull() & x.is_closed("refs")).select("blob_ix", "elem_ix", F.col("kind.area").alias("cls"), "refs", "ids", "pts"))
+    made = relation_areas(r.relation_ways(relations.withColumn("cls", x.area_class("tags")), ways))
     line = F.array(F.struct(F.transform("pts", lambda p: x.degrees_e7(p["lon_e7"])).alias("lon"), F.transform("pts", lambda p: x.degrees_e7(p["lat_e7"])).alias("lat"), F.lit(True).alias("outer")))
     lines = ways.filter(F.col("kind.line").isNotNull() & (F.size("pts") >= 2)).select("blob_ix", "elem_ix", F.col("kind.line").alias("cls"), line.alias("rings"))
 
@@ -246,6 +243,28 @@ def collect_water(spark: SparkSession, extract: str, sea: str | None = None) ->
     return {"features": with_box(features), "cells": cells, "stats": stats}
 
 
+def keep_store(found: dict[str, DataFrame], folder: str) -> None:
+    """Writes features, cells and stats as tables of a store, and last a table that marks it as whole."""
+    spark = found["stats"].sparkSession
+    for name in ("features", "cells", "stats"):
+        found[name].write.mode("overwrite").parquet(f"{folder}/{name}")
+    spark.range(1).write.mode("overwrite").parquet(f"{folder}/complete")
+
+
+def open_store(spark: SparkSession, folder: str) -> dict[str, DataFrame] | None:
+    """The tables of a store, or None unless it is whole."""
+    try:
+        spark.read.parquet(f"{folder}/complete")
+    except AnalysisException:
+        return None
+    return {n: spark.read.parquet(f"{folder}/{n}") for n in ("features", "cells", "stats")}
+
+
+def in_box(features: DataFrame, south: int, west: int, north: int, east: int) -> DataFrame:
+    """Features whose boxes meet a box (1e-7 degrees); on a store the comparisons reach the scan."""
+    return features.filter(x.boxes_meet("lat_min", "lon_min", "lat_max", "lon_max", south, west, north, east))
+
+
 def with_box(features: DataFrame) -> DataFrame:
     flat = lambda c: F.flatten(F.transform("rings", lambda q: q[c]))
     e7 = lambda v: F.rint(v * 1e7).cast("long")
@@ -341,7 +360,7 @@ def estimate(spark: SparkSession, extract: str) -> DataFrame:
                     m = geometry.EARTH_METRES * np.stack([lon * np.cos(np.radians(lat.mean())), lat], axis=1)
                     small = category == "area" and closed and abs(np.dot(m[:-1, 0], m[1:, 1]) - np.dot(m[1:, 0], m[:-1, 1])) / 2 < k.LEAST_AREA
                 if one and not small:
-                    kept = [(geometry.kept_points(m, tolerance), units) for tolerance, units in k.ESTIMATE_LEVELS]
+                    kept = [(geometry.spans_kept(m, np.array([0]), np.array([len(m) - 1]), np.array([tolerance])), units) for tolerance, units in k.ESTIMATE_LEVELS]
                     sizes = [v for keep, units in kept for v in (int(keep.sum()), encoded_size(lat[keep], lon[keep], units))]
                 counted = one and not small
                 out.append((category, int(counted), len(lat) * counted, refs - len(lat), int(small), *sizes))
@@ -437,11 +456,47 @@ ATTRIBUTION = "Map data © OpenStreetMap contributors, under the Open Database L
 LICENSE = "This map data is made available under the Open Database License (ODbL) 1.0: https://opendatacommons.org/licenses/odbl/1-0/. Contents © OpenStreetMap contributors.\n"
 
 
+def hashed_files(spark: SparkSession, folder: str, name: str = "MANIFEST.sha256") -> DataFrame:
+    """(sha256, name) of each file of a folder, without the manifest itself; read by Spark from any file system."""
+    found = spark.read.format("binaryFile").load(folder).select(F.sha2("content", 256).alias("sha256"), F.element_at(F.split("path", "/"), -1).alias("name"))
+    return found.filter(F.col("name") != name)
+
+
+def dump_table(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of the canonical dump as (level, key, nth, line): the head's as level -1, then each tile's own, made where
+    it is read. In order of the three numbers they are the dump."""
+    tilepack.register(spark)
+    with open(path.removeprefix("file://"), "rb") as f:
+        file = codec.LayerFile(f.read())
+    head = spark.createDataFrame([(-1, 0, n, line) for n, line in enumerate(codec.head_lines(file))], "level int, key long, nth int, line binary")
+    params, attrs = [(v.bits, v.buffer) for v in file.levels], len(file.records)
+
+    def run(batches):
+        for b in batches:
+            rows = []
+            for level, key, crc, raw in zip(*(b.column(c).to_pylist() for c in ("level", "key", "crc", "blob")), strict=True):
+                features = codec.decode_tile(raw, *params[level], attrs)
+                rows += [(level, key, n, line) for n, line in enumerate(codec.tile_lines(level, key, len(raw), crc, features))]
+            yield _ring_rows(rows, ["level", "key", "nth", "line"], [pa.int32(), pa.int64(), pa.int32(), pa.binary()])
+
+    tiles = spark.read.format("tilepack").load(path).select("level", "key", "crc", "blob").mapInArrow(run, "level int, key long, nth int, line binary")
+    return head.unionByName(tiles)
+
+
+def lookup(places: DataFrame, path: str) -> DataFrame:
+    """`places` (level, key) of a layer file with `len` of the tile there, or null: by page table and page, on the executors."""
+
+    def run(batches):
+        with open(path.removeprefix("file://"), "rb") as f:
+            file = codec.LayerFile(f.read())
+        for b in batches:
+            found = [file.find(level, *codec.tile_place(key)) for level, key in zip(b.column("level").to_pylist(), b.column("key").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column("level"), b.column("key"), pa.array([None if e is None else e[2] for e in found], pa.int64())], names=["level", "key", "len"])
+
+    return places.select("level", "key").mapInArrow(run, "level int, key long, len long")
+
+
 def manifest(folder: str, name: str = "MANIFEST.sha256") -> str:
     """Hash and name of each file of a folder by name, without the manifest itself."""
-    rows = []
-    for n in sorted(os.listdir(folder)):
-        if n != name and os.path.isfile(f"{folder}/{n}"):
-            with open(f"{folder}/{n}", "rb") as f:
-                rows.append(f"{t.digest(f.read())}  {n}")
-    return "\n".join(rows) + "\n"
+    files = [n for n in sorted(os.listdir(folder)) if n != name and os.path.isfile(f"{folder}/{n}")]
+    return "".join(f"{t.file_digest(f'{folder}/{n}')}  {n}\n" for n in files)

@@ -207,16 +207,6 @@ def test_packing_and_offsets(spark):
     assert got == {0: (1, 0), 1: (2, 1), 2: (3, 3), 3: (4, 6)} and F.lit(1) is not None
 
 
-def test_lookup_asks_for_all_entries_and_absent_places(spark):
-    from terrapack.plans import geometry_queries as g
-
-    small = "/root/testdata/sf0.001"
-    index = {(level, e[0]) for level, v in enumerate(codec.LayerFile(g._layer(spark, small)).levels) for e in v.index.tolist()}
-    rows = g.q_lookup(spark, small).collect()
-    assert {(r.level, r.key) for r in rows if r.found} == index and any(not r.found for r in rows)
-    assert not {(r.level, r.key) for r in rows if not r.found} & index
-
-
 def test_water_coverage_follows_the_table(spark, monkeypatch):
     from terrapack.plans import geometry_queries as g
 
