@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import os
+import shutil
 import struct
 import zlib
 from dataclasses import dataclass, field
@@ -348,24 +351,29 @@ def _aligned(n: int) -> int:
     return -(-n // k.PAGE_BYTES) * k.PAGE_BYTES
 
 
-def write_layer(layer: Layer) -> bytes:
-    """The file's bytes. Tiles are sorted by key; equal tiles of a level are stored once."""
+def _checked(layer: Layer) -> None:
     demand(1 <= len(layer.levels) <= k.MOST_LEVELS, "number of levels out of range")
     demand(len(layer.strings) < k.NO_STRING, "too many strings")
     for v in layer.levels:
         demand(0 <= v.tile_zoom <= k.MOST_TILE_ZOOM and 8 <= v.bits <= 16 and 0 <= v.buffer < 1 << (v.bits - 3), "level parameters out of range")
         demand(v.tile_zoom <= v.zoom_min <= v.zoom_max <= k.MOST_DISPLAY_ZOOM, "display zooms out of range")
         demand(v.grid is None or v.tile_zoom >= k.GRID_ZOOM, "grid on a level above zoom 8")
-        demand(all(0 <= key < 1 << (2 * v.tile_zoom) for key, _ in v.tiles), "tile outside its zoom")
-    tiles = [sorted(v.tiles) for v in layer.levels]
+
+
+def compose(layer: Layer, entries: list[np.ndarray], sizes: list[int]) -> bytes:
+    """All of a file but its tile data, which follows: header, tables and indexes.
+
+    `entries` are each level's rows of key, place among the level's data, length and checksum, by rising key; `sizes`
+    are the bytes of each level's data. An empty tile lies at the start of its level's data.
+    """
     at = k.FIXED_HEADER + k.LEVEL_RECORD * len(layer.levels)
     body, grids, pages = b"", [], []
     for v in layer.levels:
         grids.append(at + len(body) if v.grid is not None else 0)
         body += pack_grid(v.grid) if v.grid is not None else b""
-    for t in tiles:
+    for rows in entries:
         pages.append(at + len(body))
-        body += np.array([key for key, _ in t[:: k.PAGE_ENTRIES]], "<u4").tobytes()
+        body += rows[:: k.PAGE_ENTRIES, 0].astype("<u4").tobytes()
     records_at = at + len(body) if layer.records else 0
     body += pack_table(list(layer.records)) if layer.records else b""
     strings_at = at + len(body)
@@ -373,38 +381,74 @@ def write_layer(layer: Layer) -> bytes:
     header_size = _aligned(at + len(body))
     demand(header_size <= k.MOST_HEADER, "header too large")
     place, indexes = header_size, []
-    for t in tiles:
+    for rows in entries:
         indexes.append(_aligned(place))
-        place = indexes[-1] + k.INDEX_ENTRY * len(t)
-    entries, data, starts = [], [], []
-    for t in tiles:
-        starts.append(place)
-        known: dict[bytes, int] = {}
-        rows = []
-        for key, raw in t:
-            if raw and raw not in known:
-                known[raw] = place
-                data.append(raw)
-                place += len(raw)
-            rows.append((key, known[raw], len(raw), zlib.crc32(raw)) if raw else (key, starts[-1], 0, 0))
-        entries.append(np.array(rows, "<u4").tobytes())
-    ends = [*starts[1:], place]
-    demand(place <= k.MOST_FILE, "file too large")
+        place = indexes[-1] + k.INDEX_ENTRY * len(rows)
+    starts = [place + n for n in np.concatenate([[0], np.cumsum(sizes)]).tolist()]
+    demand(starts[-1] <= k.MOST_FILE, "file too large")
     ids = [layer.ids.get(n) for n in k.ID_FIELDS]
     demand(all(i is None or 0 <= i < len(layer.strings) for i in ids), "string id out of range")
-    head = bytearray(struct.pack(_HEADER, k.MAGIC, *k.VERSION, header_size, 0, place, layer.kind, len(layer.levels), 0, layer.build_time, layer.data_time, len(layer.strings), *(k.NO_STRING if i is None else i for i in ids), 0, strings_at, len(layer.records), records_at, 0))
-    for n, v in enumerate(layer.levels):
-        t = tiles[n]
-        head += struct.pack(_LEVEL, v.tile_zoom, v.zoom_min, v.zoom_max, v.bits, v.buffer, int(v.grid is not None), v.full_class, t[0][0] if t else 0, t[-1][0] if t else 0, len(t), pages[n], indexes[n], starts[n], ends[n] - starts[n], grids[n], v.tolerance_dm, 0, 0)
+    head = bytearray(struct.pack(_HEADER, k.MAGIC, *k.VERSION, header_size, 0, starts[-1], layer.kind, len(layer.levels), 0, layer.build_time, layer.data_time, len(layer.strings), *(k.NO_STRING if i is None else i for i in ids), 0, strings_at, len(layer.records), records_at, 0))
+    for n, (v, rows) in enumerate(zip(layer.levels, entries, strict=True)):
+        least, most = (int(rows[0, 0]), int(rows[-1, 0])) if len(rows) else (0, 0)
+        head += struct.pack(_LEVEL, v.tile_zoom, v.zoom_min, v.zoom_max, v.bits, v.buffer, int(v.grid is not None), v.full_class, least, most, len(rows), pages[n], indexes[n], starts[n], sizes[n], grids[n], v.tolerance_dm, 0, 0)
     head += body
     head += bytes(header_size - len(head))
     struct.pack_into("<I", head, _CRC_AT, zlib.crc32(head))
     out = [bytes(head)]
     size = header_size
-    for at, rows in zip(indexes, entries, strict=True):
-        out += [bytes(at - size), rows]
-        size = at + len(rows)
-    return b"".join(out + data)
+    for at, rows, start in zip(indexes, entries, starts, strict=False):
+        out += [bytes(at - size), (rows + [0, start, 0, 0]).astype("<u4").tobytes()]
+        size = at + k.INDEX_ENTRY * len(rows)
+    return b"".join(out)
+
+
+class TileData:
+    """Collects the tiles of a file in order of level and key, and gives their data on; equal tiles of a level go once."""
+
+    def __init__(self, layer: Layer):
+        _checked(layer)
+        self.layer = layer
+        self.rows: list[list[tuple[int, int, int, int]]] = [[] for _ in layer.levels]
+        self.known: list[dict[bytes, int]] = [{} for _ in layer.levels]
+        self.sizes = [0] * len(layer.levels)
+
+    def add(self, level: int, key: int, raw: bytes) -> bytes:
+        """What is to be written of the tile: its bytes, or none if they are known."""
+        demand(0 <= key < 1 << (2 * self.layer.levels[level].tile_zoom), "tile outside its zoom")
+        digest = hashlib.blake2b(raw, digest_size=16).digest()
+        place = self.known[level].setdefault(digest, self.sizes[level]) if raw else 0
+        new = raw if raw and place == self.sizes[level] else b""
+        self.sizes[level] += len(new)
+        self.rows[level].append((key, place, len(raw), zlib.crc32(raw)))
+        return new
+
+    def head(self) -> bytes:
+        return compose(self.layer, [np.array(r, np.int64).reshape(-1, 4) for r in self.rows], self.sizes)
+
+
+def write_layer(layer: Layer) -> bytes:
+    """The file's bytes. Tiles are sorted by key; equal tiles of a level are stored once."""
+    tiles = TileData(layer)
+    data = [tiles.add(n, key, raw) for n, v in enumerate(layer.levels) for key, raw in sorted(v.tiles)]
+    return tiles.head() + b"".join(data)
+
+
+def write_stream(layer: Layer, rows, path: str) -> int:
+    """Writes a layer file from (level, key, bytes) in order of level and key, and returns its size. Only index entries are
+    held: the tiles' data goes to a file beside the path first."""
+    tiles = TileData(layer)
+    with open(path + ".data", "w+b") as data:
+        for level, key, raw in rows:
+            data.write(tiles.add(level, key, raw))
+        data.seek(0)
+        with open(path + ".part", "wb") as f:
+            f.write(tiles.head())
+            shutil.copyfileobj(data, f, 1 << 20)
+            size = f.tell()
+    os.replace(path + ".part", path)
+    os.remove(path + ".data")
+    return size
 
 
 @dataclass

@@ -130,10 +130,15 @@ def blob_offsets(blobs: DataFrame, chunk: int = 1 << 12) -> DataFrame:
     return rows.withColumn("_at", F.coalesce(F.sum("len").over(within), F.lit(0))).join(parts, ["level", "_part"]).withColumn("offset", F.col("_start") + F.col("_at")).drop("_part", "_start", "_at")
 
 
-def page_leaders(entries: DataFrame) -> DataFrame:
-    """The key of every 256th entry per level, by key."""
-    rank = F.row_number().over(Window.partitionBy("level").orderBy("key"))
-    return entries.withColumn("_r", rank - 1).filter(F.col("_r") % k.PAGE_ENTRIES == 0).select("level", (F.col("_r") / k.PAGE_ENTRIES).cast("long").alias("page"), "key")
+def page_leaders(entries: DataFrame, chunk: int = 1 << 16) -> DataFrame:
+    """The key of every 256th entry per level, by key. Entries are numbered within ranges of keys, and each range starts
+    after those before it: no level is numbered in one task."""
+    rows = entries.select("level", "key", F.floor(F.col("key") / F.lit(chunk)).alias("_part"))
+    before = Window.partitionBy("level").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = rows.groupBy("level", "_part").agg(F.count("*").alias("_n")).withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    within = F.row_number().over(Window.partitionBy("level", "_part").orderBy("key"))
+    out = rows.withColumn("_r", within - 1).join(parts, ["level", "_part"]).withColumn("_r", F.col("_start") + F.col("_r"))
+    return out.filter(F.col("_r") % k.PAGE_ENTRIES == 0).select("level", F.expr(f"_r div {k.PAGE_ENTRIES}").alias("page"), "key")
 
 
 def pack_files(sizes: DataFrame, most: int = k.MOST_PACK_BYTES) -> DataFrame:
@@ -153,7 +158,8 @@ def pack_files(sizes: DataFrame, most: int = k.MOST_PACK_BYTES) -> DataFrame:
 
 
 def number_records(rows: DataFrame) -> DataFrame:
-    """Distinct `record`s with `attr`, their index by first appearance (`ord`)."""
+    """Distinct `record`s with `attr`, their index by first appearance (`ord`). A file's header, of 16 MiB at most, holds
+    them all, so they are few enough to be numbered by one task."""
     first = rows.groupBy("record").agg(F.min("ord").alias("ord"))
     return first.withColumn("attr", F.row_number().over(Window.orderBy("ord")) - 1)
 

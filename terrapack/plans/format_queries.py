@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..functions import codec, geometry
+from ..functions import codec, geometry, sql
 from ..functions import constants as k
 from ..functions import exprs as x
 from ..operators import relational as r
@@ -297,6 +297,22 @@ def q_table_bytes(spark, d):
     return names.mapInArrow(run, "id long, raw string")
 
 
+@query(f"WITH p AS ({POINTS}), t AS (SELECT id, floor({sql_x(16)})::BIGINT AS x, floor({sql_y(16)})::BIGINT AS y FROM p) SELECT id, x, y, {sql_morton()} AS tile_key, {sql_zigzag('x - y')} AS code FROM t")
+def q_sql_functions(spark, d):
+    """The functions by their SQL names."""
+    sql.register(spark)
+    points(spark, d).createOrReplaceTempView("tp_points")
+    return spark.sql("""SELECT id, tp_tile_x(tile_key) AS x, tp_tile_y(tile_key) AS y, tile_key, tp_zigzag(tp_tile_x(tile_key) - tp_tile_y(tile_key)) AS code FROM
+      (SELECT id, tp_morton(floor(tp_world_x(1e-9D * (lon_e7 * 100), 16)), floor(tp_world_y(1e-9D * (lat_e7 * 100), 16))) AS tile_key FROM tp_points)""")
+
+
+@query(f"WITH {_NUMBERS} SELECT level, count(*) AS tiles, 0::BIGINT AS bad FROM tiles GROUP BY level")
+def q_sql_views(spark, d):
+    """A layer file's tiles as a view, with the tile rules as a function."""
+    sql.open_views(spark, layer_file(spark, d), "tp_drawn")
+    return spark.sql("SELECT level, count(*) AS tiles, count(tp_tile_error(blob, crc, 12, 32, 5)) AS bad FROM tp_drawn_tiles GROUP BY level")
+
+
 # ---- rules and zones ----
 
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
+import subprocess
 import time
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -293,13 +296,25 @@ def water_tiles(features: DataFrame, cells: DataFrame, region_zoom: int = k.REGI
     return t.encode_tiles(out, k.WATER_LEVELS), grids
 
 
-def build_water(spark: SparkSession, extract: str, sea: str | None = None, build_time: int = 0, most: int = k.MOST_PACK_BYTES, region_zoom: int = k.REGION_ZOOM, name: str = "water", features: DataFrame | None = None, cells: DataFrame | None = None) -> Iterator[tuple[str, bytes]]:
-    """Names and bytes of the pack's files, one after another: whole regions in Morton order, each file within `most`."""
-    stamp = 0
+@dataclass
+class WaterPack:
+    """What a water pack is written from: its tiles with the file that each goes to, and what the files' heads tell."""
+
+    tiles: DataFrame  # file, level, key, blob
+    names: list[str]
+    layers: list[codec.Layer]
+
+
+def plan_water(spark: SparkSession, extract: str, sea: str | None = None, build_time: int = 0, most: int = k.MOST_PACK_BYTES, region_zoom: int = k.REGION_ZOOM, name: str = "water", features: DataFrame | None = None, cells: DataFrame | None = None, maker: str = "terrapack") -> WaterPack:
+    """Whole regions go to files in Morton order, each file within `most` bytes of tiles.
+
+    Features and cells may be given, as from a store; the extract then only tells its time. What reaches the driver is
+    bounded by the grid's 65 536 cells."""
     if features is None:
         found = collect_water(spark, extract, sea)
         features, cells = found["features"].persist(), found["cells"].persist()
-        stamp = spark.read.format("osm_pbf").option("element", "header").load(extract).first()[0] or int(os.stat(extract).st_mtime)
+    pbf.register(spark)
+    stamp = spark.read.format("osm_pbf").option("element", "header").load(extract).first()[0] or int(os.stat(extract).st_mtime)
     tiles, grids = water_tiles(features, cells, region_zoom)
     key = None
     for level, (zoom, *_) in enumerate(k.WATER_LEVELS):
@@ -309,18 +324,45 @@ def build_water(spark: SparkSession, extract: str, sea: str | None = None, build
     tiles = tiles.withColumn("region_key", key).persist()
     regions = r.regions_of(cells, region_zoom).select("region_key")
     sizes = regions.join(tiles.groupBy("region_key").agg(F.sum("len").alias("bytes")), "region_key", "left").select("region_key", F.coalesce("bytes", F.lit(0)).alias("bytes"))
-    files = r.pack_files(sizes, most).persist()
+    files = r.pack_files(sizes, most).select("region_key", "file").persist()
     n_files = (files.agg(F.max("file")).first()[0] or 0) + 1
-    strings = ["osm-water", "© OpenStreetMap contributors", "ODbL 1.0", "OpenStreetMap", time.strftime("%Y-%m-%d", time.gmtime(stamp)), "terrapack"]
-    for n in range(n_files):
-        of = files.filter(F.col("file") == n).select("region_key")
-        up = k.GRID_ZOOM - region_zoom
-        cell_key = x.morton(F.shiftright("cx", up), F.shiftright("cy", up))
-        grid = {level: {(c["cx"], c["cy"]): c["value"] for c in g.withColumn("region_key", cell_key).join(of, "region_key").collect()} for level, g in grids.items()}
-        layer = codec.Layer(k.WATER, t.level_specs(k.WATER_LEVELS, 1, grid), strings, dict(zip(k.ID_FIELDS, range(6), strict=True)), [], build_time, stamp)
-        yield (f"{name}.pmt" if n_files == 1 else f"{name}-{n + 1:02d}.pmt"), t.assemble(tiles.join(of, "region_key"), layer)
-    tiles.unpersist()
-    files.unpersist()
+    strings = ["osm-water", "© OpenStreetMap contributors", "ODbL 1.0", "OpenStreetMap", time.strftime("%Y-%m-%d", time.gmtime(stamp)), maker]
+    up = k.GRID_ZOOM - region_zoom
+    cell_key = x.morton(F.shiftright("cx", up), F.shiftright("cy", up))
+    grid: list[dict[int, dict]] = [{level: {} for level in grids} for _ in range(n_files)]
+    for level, g in grids.items():
+        for c in g.withColumn("region_key", cell_key).join(files, "region_key").collect():
+            grid[c["file"]][level][c["cx"], c["cy"]] = c["value"]
+    layers = [codec.Layer(k.WATER, t.level_specs(k.WATER_LEVELS, 1, g), strings, dict(zip(k.ID_FIELDS, range(6), strict=True)), [], build_time, stamp) for g in grid]
+    names = [f"{name}.pmt"] if n_files == 1 else [f"{name}-{n + 1:02d}.pmt" for n in range(n_files)]
+    return WaterPack(tiles.join(files, "region_key").select("file", "level", "key", "blob"), names, layers)
+
+
+def build_water(spark: SparkSession, extract: str, sea: str | None = None, **options) -> Iterator[tuple[str, bytes]]:
+    """Names and bytes of the pack's files, one after another (see plan_water). One file is held at a time."""
+    pack = plan_water(spark, extract, sea, **options)
+    for n, (name, layer) in enumerate(zip(pack.names, pack.layers, strict=True)):
+        yield name, t.assemble(pack.tiles.filter(F.col("file") == n), layer)
+
+
+def write_water(pack: WaterPack, folder: str) -> DataFrame:
+    """Writes the pack's files to a folder that all executors share: (name, bytes, sha256) of each.
+
+    A file is one task's: its tiles come sorted, their data streams to the file, and only index entries are held."""
+    spark, names, layers = pack.tiles.sparkSession, pack.names, pack.layers
+    folder = folder.removeprefix("file://")
+    none = spark.range(len(names)).select(F.col("id").cast("int").alias("file"), F.lit(-1).alias("level"), F.lit(0).cast("long").alias("key"), F.lit(b"").alias("blob"))
+    rows = pack.tiles.select("file", "level", "key", "blob").unionByName(none)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flat = (row for b in batches for row in zip(*(b.column(c).to_pylist() for c in ("file", "level", "key", "blob")), strict=True))
+        for n, group in itertools.groupby(flat, key=lambda row: row[0]):
+            os.makedirs(folder, exist_ok=True)
+            path = f"{folder}/{names[n]}"
+            size = codec.write_stream(layers[n], ((level, key, raw) for _, level, key, raw in group if level >= 0), path)
+            yield _ring_rows([(names[n], size, t.file_digest(path))], ["name", "bytes", "sha256"], [pa.string(), pa.int64(), pa.string()])
+
+    return rows.repartition(len(names), "file").sortWithinPartitions("file", "level", "key").mapInArrow(run, "name string, bytes long, sha256 string")
 
 
 # ---- size estimate ----
@@ -381,8 +423,9 @@ def encoded_size(lat: np.ndarray, lon: np.ndarray, units: int) -> int:
 # ---- synthetic features ----
 
 
-def synthetic(spark: SparkSession, lat: float, lon: float, km: float = 60.0, seed: int = 1, lakes: int = 200, rough: float = 0.18) -> DataFrame:
-    """Lakes with rough shores, some with islands, and a sea in the west: a row each, seeded by its number."""
+def synthetic(spark: SparkSession, lat: float, lon: float, km: float = 60.0, seed: int = 1, lakes: int = 200, rough: float = 0.18, high: float | None = None) -> DataFrame:
+    """Lakes with rough shores, some with islands, and a sea in the west: a row each, seeded by its number. The box is `km`
+    wide and `high` (or as much) high."""
 
     def shore(rng, cx, cy, radius, step) -> np.ndarray:
         angle = np.sort(rng.uniform(0, 2 * np.pi, 10))
@@ -400,17 +443,17 @@ def synthetic(spark: SparkSession, lat: float, lon: float, km: float = 60.0, see
         return {"lon": (lon + ring[:, 0] / (per * np.cos(np.radians(lat)))).tolist(), "lat": (lat + ring[:, 1] / per).tolist(), "outer": outer}
 
     def run(batches):
-        half = km * 500.0
+        half, up = km * 500.0, (high or km) * 500.0
         for b in batches:
             out = []
             for n in b.column("id").to_pylist():
                 rng = np.random.default_rng([seed, n])
                 if n == 0:
-                    edge = np.linspace(-half, half, 64)
+                    edge = np.linspace(-up, up, 64)
                     coast = np.stack([-half / 3 + half * rough * rng.uniform(-1, 1, 64), edge], axis=1)
-                    rings = [degrees(np.concatenate([coast, [[-half * 1.1, half], [-half * 1.1, -half]]]), True)]
+                    rings = [degrees(np.concatenate([coast, [[-half * 1.1, up], [-half * 1.1, -up]]]), True)]
                 else:
-                    cx, cy, radius = *rng.uniform(-half, half, 2), float(np.exp(rng.uniform(np.log(80), np.log(3000))))
+                    cx, cy, radius = *(rng.uniform(-1, 1, 2) * [half, up]), float(np.exp(rng.uniform(np.log(80), np.log(3000))))
                     rings = [degrees(shore(rng, cx, cy, radius, 30.0), True)]
                     if rng.uniform() < 0.2:
                         rings.append(degrees(shore(rng, cx, cy, radius / 6, 30.0), False))
@@ -423,6 +466,20 @@ def synthetic(spark: SparkSession, lat: float, lon: float, km: float = 60.0, see
 # ---- cropping, sidecars ----
 
 
+def pack_name(extract: str) -> str:
+    """A pack's name after its extract's: what stands before the first dot, without a mark that it is the latest."""
+    return os.path.basename(extract).split(".")[0].replace("-latest", "")
+
+
+def commit_stamp() -> str:
+    """The commit that this library's code is from, or "unknown"."""
+    try:
+        done = subprocess.run(["git", "-C", os.path.dirname(os.path.abspath(__file__)), "rev-parse", "--short", "HEAD"], capture_output=True, text=True, check=True)
+        return done.stdout.strip()
+    except (OSError, subprocess.CalledProcessError):
+        return "unknown"
+
+
 def crop_file(spark: SparkSession, path: str, box: tuple[float, float, float, float]) -> bytes:
     """A layer file of the tiles and grid cells that touch a box (south, west, north, east); the rest is as it was."""
     tilepack.register(spark)
@@ -446,9 +503,9 @@ def check(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("tilepack").load(path).agg(F.count_distinct("level").alias("levels"), F.count("*").alias("tiles"), F.count("error").alias("bad"), F.min_by("error", F.when(F.col("error").isNotNull(), F.col("level") * (1 << 33) + F.col("key"))).alias("first_error"))
 
 
-def sources_json(kind: str, sources: list[dict], files: dict[str, bytes], built: int) -> str:
+def sources_json(kind: str, sources: list[dict], files: dict[str, tuple[int, str]], built: int) -> str:
     """What a pack was made from, and sizes and hashes of its files."""
-    listed = {n: {"bytes": len(raw), "sha256": t.digest(raw)} for n, raw in files.items()}
+    listed = {n: {"bytes": size, "sha256": digest} for n, (size, digest) in files.items()}
     return json.dumps({"format": kind, "built_utc": time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime(built)), "sources": sources, "files": listed}, indent=2) + "\n"
 
 

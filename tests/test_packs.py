@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from terrapack.functions import codec, geometry
 from terrapack.functions import exprs as x
 from terrapack.operators import relational as r
-from terrapack.plans import packs
+from terrapack.operators import tiles as tiles_
+from terrapack.plans import fetching, packs
 from terrapack.sources import geojson, pbf, shapefile, tilepack
 
 
@@ -64,14 +65,17 @@ def test_water_features(spark, extract):
     assert found["features"].filter("geom = 2 and cls = 16").first().rings[0].lat == pytest.approx([44.5, 44.51])
 
 
-def test_water_pack(spark, extract):
+def test_water_pack(spark, extract, tmp_path):
     found = packs.collect_water(spark, extract)
     features, cells = found["features"].persist(), found["cells"].persist()
     whole = dict(packs.build_water(spark, extract, features=features, cells=cells))
     assert list(whole) == ["water.pmt"]
     one = codec.LayerFile(whole["water.pmt"])
     assert one.kind == 2 and all(v.count for v in one.levels) and one.warnings() == []
-    split = dict(packs.build_water(spark, extract, features=features, cells=cells, region_zoom=8, most=1))
+    pack = packs.plan_water(spark, extract, features=features, cells=cells, region_zoom=8, most=1)
+    listed = {q["name"]: (q["bytes"], q["sha256"]) for q in packs.write_water(pack, str(tmp_path)).collect()}
+    split = {n: (tmp_path / n).read_bytes() for n in pack.names}
+    assert listed == {n: (len(raw), tiles_.digest(raw)) for n, raw in split.items()} and sorted(os.listdir(tmp_path)) == sorted(split)
     assert len(split) > 1 and list(split)[0] == "water-01.pmt"
     tiles = {}
     for raw in split.values():
@@ -114,6 +118,11 @@ def test_shapefiles(spark, tmp_path):
     got = shapefile.read_shapes(spark, path).orderBy("rec_ix").collect()
     assert [(s.shape_type, len(s.parts)) for s in got] == [(5, 2), (0, 0), (3, 1)] and got[0].attrs == {"min_zoom": "6", "name": "a"}
     assert [q["outer"] for q in shapefile.rings_of([p.asDict() for p in got[0].parts])] == [True, False]
+    key = lambda q: (q.rec_ix, q.shape_type, q.attrs, [(list(p.lon), list(p.lat)) for p in q.parts])
+    for tasks in (1, 2, 5):
+        assert [key(q) for q in shapefile.stream_shapes(spark, path, tasks=tasks).orderBy("rec_ix").collect()] == [key(q) for q in got]
+        near = shapefile.stream_shapes(spark, path, None, (0.5, 0.5, 3, 3), tasks).collect()
+        assert [(q.rec_ix, q.attrs) for q in near] == [(2, None)]
     with pytest.raises(ValueError, match="fewer rows"):
         list(shapefile.decode(made.shapefile([(0, []), (0, [])], [("a", 2)], [("x",)])))
 
@@ -168,6 +177,58 @@ def test_fetch_halves_and_checks(spark):
         geojson.check_complete(found.filter("id <> 3"), ids)
 
 
+def test_fetched_layers_and_their_record(spark, tmp_path):
+
+    def get(url):
+        from urllib.parse import parse_qs, urlsplit
+
+        q = {n: v[0] for n, v in parse_qs(urlsplit(url).query).items()}
+        assert q["where"] == "1=1"
+        if "returnIdsOnly" in q:
+            return json.dumps({"objectIds": [3, 1, 2, 9]})
+        ids = [int(v) for v in q["objectIds"].split(",")]
+        return "busy" if len(ids) > 2 else json.dumps({"features": [{"id": i, "properties": {"OBJECTID": i}, "geometry": None} for i in ids]})
+
+    counts = fetching.fetch_all(spark, str(tmp_path), get, "http://x/rest", {"a": "L/1"}, 100, 0)
+    assert counts == {"a.geojson": 4}
+    with open(tmp_path / "a.geojson") as f:
+        assert [q["id"] for q in json.load(f)["features"]] == [1, 2, 3, 9]
+    with open(tmp_path / "SOURCES.fwc.json") as f:
+        record = json.load(f)
+    assert record["retrieved_utc"] == "1970-01-01T00:00:00Z" and record["files"]["a.geojson"]["features"] == 4
+
+
+def test_store_is_kept_and_reused(spark, extract, tmp_path):
+    assert packs.open_store(spark, f"{tmp_path}/store") is None
+    found = packs.collect_water(spark, extract)
+    packs.keep_store(found, f"{tmp_path}/store")
+    kept = packs.open_store(spark, f"{tmp_path}/store")
+    built = lambda q: dict(packs.build_water(spark, extract, features=q["features"], cells=q["cells"]))
+    assert built(kept) == built(found)
+    assert packs.pack_name("/a/nova-scotia-latest.osm.pbf") == "nova-scotia" and packs.commit_stamp()
+
+
+def test_ids_and_tags_are_pushed_down(spark, extract):
+    pbf.register(spark)
+    load = lambda e, **more: spark.read.format("osm_pbf").options(element=e, **more).load(extract)
+    assert load("node").filter("id > 10 and id <= 14 and id <> 12").count() == 3
+    assert {w.id for w in load("way", any_tag="waterway=river,landuse=x").collect()} == {106}
+    assert {w.id for w in load("way").filter("id in (100, 109)").collect()} == {100, 109}
+    assert load("relation", any_tag="natural=wood").count() == 0
+
+
+def test_ways_without_nodes_still_close_rings(spark, tmp_path):
+    """A ring of three ways of which one has no node in the extract: what is left of it has three points."""
+    nodes = ring_nodes(1, 44.50, -63.50, 0.05)
+    ways = [(1, {}, [1, 2, 3]), (2, {}, [3, 4, 9]), (3, {}, [9, 8]), (4, {}, [8, 1])]
+    lost = [(1, {}, [1, 2, 3, 4, 9]), (3, {}, [9, 8]), (4, {}, [8, 1])]
+    for n, some in enumerate((ways, lost)):
+        raw = made.extract(nodes, some, [(200, {"type": "multipolygon", "natural": "water"}, [(1, w[0], "outer") for w in some])])
+        found = packs.collect_water(spark, write(tmp_path, f"{n}.osm.pbf", raw))
+        assert found["stats"].first().unclosed == 0
+        assert [len(f.rings[0].lon) for f in found["features"].collect()] == [4]
+
+
 def test_tilepack_source_and_crop(spark, tmp_path):
     tilepack.register(spark)
     tiles = [(codec.tile_key(px, py), codec.encode_tile([(1, 1, 0, [[(0, 0), (9 + px % 7, 0), (0, 9)]])], 12, 32)) for px in range(1000, 1020) for py in range(1500, 1515)]
@@ -196,7 +257,7 @@ def test_sidecars(tmp_path):
     write(tmp_path, "b", b"2")
     write(tmp_path, "a", b"1")
     assert [q.split("  ")[1] for q in packs.manifest(str(tmp_path)).splitlines()] == ["a", "b"]
-    assert json.loads(packs.sources_json("x", [], {"a": b"1"}, 0))["built_utc"] == "1970-01-01T00:00:00Z"
+    assert json.loads(packs.sources_json("x", [], {"a": (1, "0")}, 0))["built_utc"] == "1970-01-01T00:00:00Z"
 
 
 def test_packing_and_offsets(spark):
