@@ -297,7 +297,7 @@ def q_table_bytes(spark, d):
     return names.mapInArrow(run, "id long, raw string")
 
 
-@query(f"WITH p AS ({POINTS}), t AS (SELECT id, floor({sql_x(16)})::BIGINT AS x, floor({sql_y(16)})::BIGINT AS y FROM p) SELECT id, x, y, {sql_morton()} AS tile_key, {sql_zigzag('x - y')} AS code FROM t")
+@query(f"WITH p AS ({POINTS}), t AS (SELECT id, floor({sql_x(16)})::BIGINT AS x, floor({sql_y(16)})::BIGINT AS y FROM p) SELECT id, x, y, {sql_morton()} AS tile_key, {sql_zigzag('(x - y)')} AS code FROM t")
 def q_sql_functions(spark, d):
     """The functions by their SQL names."""
     sql.register(spark)
