@@ -22,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLES: dict[str, str] = {
     "op4_line_dedup": lines.ORACLE,
+    "op5_jaccard_join": jaccard.ORACLE,
     "op9_secrets": secrets.ORACLE,
     "op10_top_k": knn.ORACLE,
 }
