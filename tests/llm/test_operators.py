@@ -367,6 +367,9 @@ def test_quality(spark, docs, none):
     assert len(got) == 122 and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got)
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in got if r.doc_id is not None)
     assert all(r.predicted == r.doc_id % 2 for r in got if r.doc_id is not None)
+    odd = [(1, "good words " * 100_000), (2, "good words " * 100_000), (2, "good words " * 100_000), (3, ""), (4, None), (5, " \n")]
+    scores = [(r.doc_id, r.score, r.lang) for r in quality.classify(spark.createDataFrame([(*d, "x", 9.0, 3) for d in odd], "doc_id long, text string, lang string, good double, order int"), labels).collect()]
+    assert len(scores) == 6 and len({s for i, s, _ in scores if i < 3}) == len({s for i, s, _ in scores if i > 2}) == 1 and {x for *_, x in scores} == {"x"}
     out = quality.classify(docs, labels.limit(0))
     assert out.count() == len(rows()) and out.select("score").distinct().count() == 1
     assert quality.classify(none, labels).count() == 0
@@ -529,7 +532,7 @@ def test_top_k(spark):
     data += [(300 + k, data[0][1]) for k in range(40)]  # one very common vector
     data += [(400, None), (401, [1.0, None, 2.0, 0.0, 0.0, 0.0]), (402, [float("nan")] * 6), (403, [float("inf")] * 6), (None, [1.0] * 6), (500, []), (600, [0.5, 0.5]), (200, data[200][1])]
     df = spark.createDataFrame(data, "vec_id long, e array<double>")
-    clean = df.filter(knn.usable(F.col("e"))).select("vec_id", knn.grid(F.col("e")).alias("v"))
+    clean = df.filter(knn.usable(F.col("e"))).select("vec_id", knn.grid(F.col("e")).alias("v"), *(F.lit("x").alias(c) for c in ("cell", "far", "block", "score", "rank", "query_id", "below")))
     vectors = [(k, [int(np.floor(1024 * x)) for x in v]) for k, v in data if k is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     got = collections.defaultdict(list)
     for r in knn.top_k(clean, F.col("vec_id") % 100 == 0, pivots=9, block_rows=32).collect():
