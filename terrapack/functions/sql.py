@@ -25,11 +25,11 @@ EXPRESSIONS = (
 )
 
 
-def _tile_error(blob: pd.Series, crc: pd.Series, bits: pd.Series, buffer: pd.Series, attrs: pd.Series) -> pd.Series:
+def _tile_error(blob: pd.Series, crc: pd.Series, bits: pd.Series, buffer: pd.Series, attrs: pd.Series, limits: codec.Limits = codec.FORMAT) -> pd.Series:
     def fault(raw, crc_, bits_, buffer_, attrs_):
         try:
             codec.demand(zlib.crc32(raw) == crc_, "tile checksum differs")
-            codec.decode_tile(bytes(raw), int(bits_), int(buffer_), int(attrs_))
+            codec.decode_tile(bytes(raw), int(bits_), int(buffer_), int(attrs_), limits)
         except codec.FormatError as e:
             return str(e)
         return None
@@ -37,6 +37,10 @@ def _tile_error(blob: pd.Series, crc: pd.Series, bits: pd.Series, buffer: pd.Ser
     return pd.Series([None if raw is None else fault(raw, *rest) for raw, *rest in zip(blob, crc, bits, buffer, attrs, strict=True)], dtype=object)
 
 
+def _any_tile_error(blob: pd.Series, crc: pd.Series, bits: pd.Series, buffer: pd.Series, attrs: pd.Series) -> pd.Series:
+    return _tile_error(blob, crc, bits, buffer, attrs, codec.ANY_SIZE)
+
+
 def _ring_area(points: pd.Series) -> pd.Series:
     def area(v):
         if v is None:
@@ -52,13 +56,14 @@ def register(spark: SparkSession) -> None:
     for name, params, result, body in EXPRESSIONS:
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({params}) RETURNS {result} RETURN {body}")
     spark.udf.register("tp_tile_error", F.pandas_udf(_tile_error, "string"))
+    spark.udf.register("tp_any_tile_error", F.pandas_udf(_any_tile_error, "string"))
     spark.udf.register("tp_twice_area", F.pandas_udf(_ring_area, "long"))
     pbf.register(spark)
     tilepack.register(spark)
 
 
-def open_views(spark: SparkSession, path: str, prefix: str = "tp") -> None:
+def open_views(spark: SparkSession, path: str, prefix: str = "tp", limits: str = "format") -> None:
     """Views of a layer file's parts: PREFIX_tiles, PREFIX_levels, PREFIX_strings, PREFIX_records and PREFIX_grid."""
     register(spark)
     for part in ("tiles", "levels", "strings", "records", "grid"):
-        spark.read.format("tilepack").option("part", part).load(path).createOrReplaceTempView(f"{prefix}_{part}")
+        spark.read.format("tilepack").option("part", part).option("limits", limits).load(path).createOrReplaceTempView(f"{prefix}_{part}")
