@@ -25,20 +25,19 @@ EXPRESSIONS = (
 )
 
 
-def _tile_error(blob: pd.Series, crc: pd.Series, bits: pd.Series, buffer: pd.Series, attrs: pd.Series, limits: codec.Limits = codec.FORMAT) -> pd.Series:
-    def fault(raw, crc_, bits_, buffer_, attrs_):
+def _tile_errors(limits: codec.Limits):
+    def fault(raw, crc, bits, buffer, attrs):
         try:
-            codec.demand(zlib.crc32(raw) == crc_, "tile checksum differs")
-            codec.decode_tile(bytes(raw), int(bits_), int(buffer_), int(attrs_), limits)
+            codec.demand(zlib.crc32(raw) == crc, "tile checksum differs")
+            codec.decode_tile(bytes(raw), int(bits), int(buffer), int(attrs), limits)
         except codec.FormatError as e:
             return str(e)
         return None
 
-    return pd.Series([None if raw is None else fault(raw, *rest) for raw, *rest in zip(blob, crc, bits, buffer, attrs, strict=True)], dtype=object)
+    def tile_error(blob: pd.Series, crc: pd.Series, bits: pd.Series, buffer: pd.Series, attrs: pd.Series) -> pd.Series:
+        return pd.Series([None if raw is None else fault(raw, *rest) for raw, *rest in zip(blob, crc, bits, buffer, attrs, strict=True)], dtype=object)
 
-
-def _any_tile_error(blob: pd.Series, crc: pd.Series, bits: pd.Series, buffer: pd.Series, attrs: pd.Series) -> pd.Series:
-    return _tile_error(blob, crc, bits, buffer, attrs, codec.ANY_SIZE)
+    return F.pandas_udf(tile_error, "string")
 
 
 def _ring_area(points: pd.Series) -> pd.Series:
@@ -55,8 +54,8 @@ def register(spark: SparkSession) -> None:
     """Makes the functions known to the session, and the data sources osm_pbf and tilepack."""
     for name, params, result, body in EXPRESSIONS:
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({params}) RETURNS {result} RETURN {body}")
-    spark.udf.register("tp_tile_error", F.pandas_udf(_tile_error, "string"))
-    spark.udf.register("tp_any_tile_error", F.pandas_udf(_any_tile_error, "string"))
+    spark.udf.register("tp_tile_error", _tile_errors(codec.FORMAT))
+    spark.udf.register("tp_any_tile_error", _tile_errors(codec.ANY_SIZE))
     spark.udf.register("tp_twice_area", F.pandas_udf(_ring_area, "long"))
     pbf.register(spark)
     tilepack.register(spark)
