@@ -75,12 +75,14 @@ def main(argv: list[str] | None = None) -> int:
             with open(f"{a.out_dir}/MANIFEST.sha256", "w", encoding="utf-8") as f:
                 f.write(packs.manifest(a.out_dir))
         elif a.command == "zones":
-            raw, skipped = packs.build_zones(geojson.read_features(spark, a.boating), geojson.read_features(spark, a.manatee), a.date, now, now, a.name)
+            boating, files = geojson.read_features(spark, a.boating), {}
             os.makedirs(a.out_dir, exist_ok=True)
-            with open(f"{a.out_dir}/{a.name}.pmt", "wb") as f:
-                f.write(raw)
-            _sources(a.out_dir, {f"{a.name}.pmt": (len(raw), t.digest(raw))}, "zones", [a.boating, a.manatee], now)
-            for row in skipped.collect():
+            for name, raw in packs.zone_files(boating, geojson.read_features(spark, a.manatee), a.date, now, now, a.name):
+                with open(f"{a.out_dir}/{name}", "wb") as f:
+                    f.write(raw)
+                files[name] = (len(raw), t.digest(raw))
+            _sources(a.out_dir, files, "zones", [a.boating, a.manatee], now)
+            for row in packs.skipped_rules(boating).collect():
                 print(f"left out: {row['restriction']} x{row['n']}")
         elif a.command == "overview":
             with open(a.out, "wb") as f:
